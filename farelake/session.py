@@ -58,6 +58,12 @@ def staging_root(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of tables written by this package."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 class Staging:
     """Written tables that cut lineage: once written, a lost executor costs a re-read, not a recompute.
 
@@ -74,8 +80,7 @@ class Staging:
         return self.spark.read.schema(df.schema).parquet(target)
 
     def drop(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(self.spark, self.path)
 
     def __enter__(self) -> "Staging":
         return self

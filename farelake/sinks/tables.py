@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from ..operators.upsert import upsert_by_key
-from ..session import session_conf
+from ..session import delete_path, session_conf
 
 # Keeps files near the size of a parquet row group or two; small enough to read in parallel, few enough to list.
 ROWS_PER_FILE = 4_000_000
@@ -32,24 +34,38 @@ def _writer(df: DataFrame, partition_by: Sequence[str], buckets: tuple[int, str]
     return writer
 
 
+def _version_path(spark: SparkSession, table: str, stem: str) -> str | None:
+    """Folder of a version written by ``replace_table``; None for files that are not ours to remove."""
+    about = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    location = about.get("Location", "")
+    return location if re.fullmatch(rf".*/{re.escape(stem)}-[0-9a-f]{{12}}", location) else None
+
+
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = (),
                   buckets: tuple[int, str] | None = None) -> DataFrame:
     """Replace a table by a DataFrame that may read that table.
 
-    The new rows are written under another name first and the names are swapped after the write has succeeded, so a
-    failed write leaves the old table as it was.
+    Every version has its own folder. The new one is written under another name, the names are swapped after the
+    write has succeeded, and then the old version is removed: a failed write leaves the old table as it was.
     """
     spark = df.sparkSession
+    database, _, name = table.rpartition(".")
     fresh, old = f"{table}__new", f"{table}__old"
     for leftover in (fresh, old):
         spark.sql(f"DROP TABLE IF EXISTS {leftover}")
-    _writer(df, partition_by, buckets).saveAsTable(fresh)
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    path = f"{home.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _writer(df, partition_by, buckets).option("path", path).saveAsTable(fresh)
+    old_path = None
     replacing = spark.catalog.tableExists(table)
     if replacing:
+        old_path = _version_path(spark, table, name)
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     if replacing:
         spark.sql(f"DROP TABLE {old}")
+        if old_path:
+            delete_path(spark, old_path)
     return spark.table(table)
 
 
