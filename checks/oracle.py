@@ -264,14 +264,14 @@ def _suite() -> str:
         # The key and the calendar are made without NULLs and repeats.
         ("not_null_fct_trips_trip_key", "SELECT 0"), ("unique_fct_trips_trip_key", "SELECT 0"),
         ("not_null_dim_date_date_key", "SELECT 0"), ("unique_dim_date_date_key", "SELECT 0"),
-        ("assert_silver_temporal_and_non_negative",
+        ("rule_trips_in_order_and_not_negative",
          "SELECT COUNT(*) FROM silver WHERE pickup_datetime IS NULL OR dropoff_datetime IS NULL"
          " OR pickup_datetime > dropoff_datetime OR trip_distance < 0 OR total_amount < 0"),
-        ("assert_total_revenue_positive", "SELECT COUNT(*) FROM daily WHERE total_revenue < 0"),
-        ("assert_trip_count_consistent",
+        ("rule_daily_revenue_not_negative", "SELECT COUNT(*) FROM daily WHERE total_revenue < 0"),
+        ("rule_unified_count_equals_parts",
          "SELECT COUNT(*) FROM (SELECT COUNT(*) AS n, COUNT(CASE WHEN service_type IN ('yellow', 'green') THEN 1 END)"
          " AS m FROM silver) WHERE n <> m"),
-        ("assert_valid_pickup_hours",
+        ("rule_pickup_hours_valid",
          "SELECT COUNT(DISTINCT pickup_hour) FROM hourly WHERE pickup_hour < 0 OR pickup_hour > 23"),
     ]
     union = "\nUNION ALL ".join(f"SELECT '{name}' AS test, ({query}) AS failures" for name, query in tests)

@@ -16,7 +16,8 @@ DEFAULTS = {
     "trip_type": 1,
     **{name: 0 for name in MONEY_COLUMNS},
 }
-INTEGER_COLUMNS = ("passenger_count", "ratecode_id", "payment_type", "trip_type", "pu_location_id", "do_location_id")
+ROUNDED_COLUMNS = ("passenger_count", "ratecode_id", "payment_type", "trip_type")
+ID_COLUMNS = ("pu_location_id", "do_location_id")  # integers in bronze already
 
 
 def clean_trips(df: DataFrame) -> DataFrame:
@@ -47,8 +48,10 @@ def apply_defaults(df: DataFrame) -> DataFrame:
 def typed(name: str) -> Column:
     """Silver value of a bronze column: default, then integer or money type."""
     value = defaulted(name)
-    if name in INTEGER_COLUMNS:
+    if name in ROUNDED_COLUMNS:
         value = half_even_int(value)
+    elif name in ID_COLUMNS:
+        value = value.cast("int")
     elif name in MONEY_COLUMNS:
         value = money(value)
     return value.alias(name)

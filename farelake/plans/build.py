@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.quality import QualityError, require_rows, unique
@@ -16,6 +20,8 @@ from .layout import assert_not_empty, write_fact, write_list, write_zone
 from .silver import silver_base, silver_green, silver_unified, silver_yellow
 from .suite import PAYMENT_KINDS, run_suite
 
+PARALLEL_TABLES = 4
+
 
 @dataclass(frozen=True)
 class BuildConfig:
@@ -38,19 +44,26 @@ def build_silver(spark: SparkSession, config: BuildConfig = BuildConfig()) -> di
     return {name: register_view(df, name) for name, df in views.items()}
 
 
+def _together(spark: SparkSession, steps: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Build independent tables side by side, so that the small stages of one do not leave the cluster idle."""
+    run = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=PARALLEL_TABLES) as pool:
+        running = {name: pool.submit(run(step)) for name, step in steps.items()}
+        return {name: task.result() for name, task in running.items()}
+
+
 def build_dims(spark: SparkSession, config: BuildConfig = BuildConfig()) -> dict[str, DataFrame]:
-    gold = config.gold
-    zones = spark.table(config.zones_table)
-    return {
-        "dim_date": replace_table(dims.dim_date(spark, config.start, config.end), f"{gold}.dim_date"),
-        "dim_zone": write_zone(dims.dim_zone(zones), f"{gold}.dim_zone"),
-        "dim_service_type": write_list(dims.dim_service_type(spark), f"{gold}.dim_service_type", "service_type",
-                                       SERVICES),
-        "dim_payment_type": write_list(dims.dim_payment_type(spark), f"{gold}.dim_payment_type", "payment_type",
-                                       PAYMENT_KINDS),
-        "dim_vendor": replace_table(dims.dim_vendor(spark), f"{gold}.dim_vendor"),
-        "dim_rate_code": replace_table(dims.dim_rate_code(spark), f"{gold}.dim_rate_code"),
-    }
+    gold, zones = config.gold, spark.table(config.zones_table)
+    return _together(spark, {
+        "dim_date": lambda: replace_table(dims.dim_date(spark, config.start, config.end), f"{gold}.dim_date"),
+        "dim_zone": lambda: write_zone(dims.dim_zone(zones), f"{gold}.dim_zone"),
+        "dim_service_type": lambda: write_list(
+            dims.dim_service_type(spark), f"{gold}.dim_service_type", "service_type", SERVICES),
+        "dim_payment_type": lambda: write_list(
+            dims.dim_payment_type(spark), f"{gold}.dim_payment_type", "payment_type", PAYMENT_KINDS),
+        "dim_vendor": lambda: replace_table(dims.dim_vendor(spark), f"{gold}.dim_vendor"),
+        "dim_rate_code": lambda: replace_table(dims.dim_rate_code(spark), f"{gold}.dim_rate_code"),
+    })
 
 
 def build_fact(spark: SparkSession, config: BuildConfig = BuildConfig()) -> dict[str, DataFrame]:
@@ -68,14 +81,15 @@ def build_marts(spark: SparkSession, config: BuildConfig = BuildConfig()) -> dic
     with Staging(spark) as staging:
         cube = staging.write(marts.trip_cube(base), "cube")
         built = {
-            "gold_daily_revenue": marts.daily_from_cube(cube),
-            "gold_hourly_patterns": marts.hourly_from_cube(cube),
             "gold_monthly_summary": marts.monthly_from_cube(cube, base),
             "gold_zone_analytics": marts.zone_analytics(base, zones),
+            "gold_daily_revenue": marts.daily_from_cube(cube),
+            "gold_hourly_patterns": marts.hourly_from_cube(cube),
         }
-        return {
-            name: replace_table(marts.with_processed_at(df), f"{config.gold}.{name}") for name, df in built.items()
-        }
+        return _together(spark, {
+            name: partial(replace_table, marts.with_processed_at(df), f"{config.gold}.{name}")
+            for name, df in built.items()
+        })
 
 
 def build_all(spark: SparkSession, config: BuildConfig = BuildConfig()) -> dict[str, DataFrame]:

@@ -59,10 +59,10 @@ OPTIONAL = (
     }),
 )
 
-TEMPORAL = "assert_silver_temporal_and_non_negative"
-REVENUE = "assert_total_revenue_positive"
-COUNTS = "assert_trip_count_consistent"
-HOURS = "assert_valid_pickup_hours"
+TEMPORAL = "rule_trips_in_order_and_not_negative"
+REVENUE = "rule_daily_revenue_not_negative"
+COUNTS = "rule_unified_count_equals_parts"
+HOURS = "rule_pickup_hours_valid"
 
 
 def _long(df: DataFrame, counters: Mapping[str, Column]) -> DataFrame:

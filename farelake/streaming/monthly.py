@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.normalize import FILE_PATTERN, file_month, file_service
-from ..plans.ingest import TRIPS_TABLE, load_files
-from ..sinks.tables import ensure_layer
+from ..plans.ingest import STATUS_SCHEMA, TRIPS_TABLE, load_files
+from ..sinks.tables import append_bronze, ensure_layer
+
+LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def new_files(spark: SparkSession, root: str, files_per_batch: int = 100) -> DataFrame:
     """Stream of trip file paths. Only names travel through the stream, so files of any schema can arrive."""
     listed = (
-        spark.readStream.format("binaryFile")
+        spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("pathGlobFilter", "*_tripdata_*.parquet")
         .load(root)
@@ -26,19 +28,25 @@ def new_files(spark: SparkSession, root: str, files_per_batch: int = 100) -> Dat
 
 
 def ingest_stream(spark: SparkSession, root: str, checkpoint: str, table: str = TRIPS_TABLE,
-                  files_per_batch: int = 100) -> StreamingQuery:
+                  log_table: str = "bronze.ingest_log", files_per_batch: int = 100,
+                  strict: bool = False) -> StreamingQuery:
     """Load all files that arrived since the last run, then stop.
 
-    A replayed batch replaces the same months again, so a restart does not duplicate rows. A file that cannot be read
-    fails the batch and is retried by the next run.
+    A replayed batch replaces the same months again, so a restart does not duplicate rows. The status of every file goes
+    to the log table. A file that cannot be read does not hold up the others; with ``strict`` it fails the run, and the
+    next run tries its batch again.
     """
-    ensure_layer(spark, table.split(".")[0])
+    for name in (table, log_table):
+        ensure_layer(spark, name.split(".")[0])
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        files = batch.collect()  # at most files_per_batch names
-        failed = [s for s in load_files(batch.sparkSession, files, table) if s[3] == "failed"]
-        if failed:
-            raise RuntimeError("; ".join(f"{s[0]}: {s[5]}" for s in failed))
+        # The caller's session writes the tables, so that its cached file listings stay current.
+        statuses = load_files(spark, batch.collect(), table)  # at most files_per_batch names
+        if statuses:
+            append_bronze(spark.createDataFrame(statuses, STATUS_SCHEMA), log_table)
+        failed = [f"{s[0]}: {s[5]}" for s in statuses if s[3] == "failed"]
+        if strict and failed:
+            raise RuntimeError("; ".join(failed))
 
     return (
         new_files(spark, root, files_per_batch).writeStream
