@@ -1,15 +1,13 @@
 """The data-test suite: 44 tests over silver and gold, evaluated in a few passes per table.
 
-Tests are declared as data. Each table is read once for its row tests and row count (one aggregate), once for all of
-its value tests (grouping sets over the tested columns; the result has one row per distinct value), and once per unique
-column. Everything becomes one DataFrame with one row per test.
+Tests are declared as data. Each table is read once for its row tests and row count, once for all of its value tests, and
+once per unique column. Everything becomes one DataFrame with one row per test.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -84,33 +82,26 @@ def _row_tests(tests: TableTests, df: DataFrame) -> DataFrame | None:
     return _long(df, counters) if counters else None
 
 
-def _value_tests(tests: TableTests, df: DataFrame, tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+def _value_tests(tests: TableTests, df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame | None:
+    """All accepted_values and relationships tests of a table from its distinct values.
+
+    Grouping sets give one row per distinct value of each tested column, with its row count; the other columns are NULL
+    there. Parents are joined to those few rows, not to the table.
+    """
     columns = list(dict.fromkeys([*tests.accepted, *tests.relationships]))
     if not columns:
-        return []
-    # One row per distinct value of each column, with its rows; column number _c tells which column it is.
-    sets = df.groupingSets([[c] for c in columns], *columns).agg(
-        F.count("*").alias("_n"),
-        F.array(*[F.grouping(c) for c in columns]).alias("_g"),
-    )
-    profile = sets.withColumn("_c", F.array_position(F.col("_g"), F.lit(0).cast("byte")) - 1).drop("_g")
-    results = []
-
-    def result(name: str, bad: DataFrame, failures: Column) -> None:
-        results.append(bad.agg(F.coalesce(failures, F.lit(0)).cast("long").alias("failures"))
-                       .select(F.lit(name).alias("test"), "failures"))
-
-    for column in columns:
-        values = profile.where((F.col("_c") == columns.index(column)) & F.col(column).isNotNull())
-        if column in tests.accepted:
-            bad = values.where(~F.col(column).isin(*tests.accepted[column]))
-            result(f"accepted_values_{tests.table}_{column}", bad, F.count("*"))
-        if column in tests.relationships:
-            parent, parent_column = tests.relationships[column]
-            keys = tables[parent].select(F.col(parent_column).alias("_parent"))
-            orphans = values.join(keys, F.col(column) == F.col("_parent"), "left_anti")
-            result(f"relationships_{tests.table}_{column}", orphans, F.sum("_n"))
-    return results
+        return None
+    values = df.groupingSets([[c] for c in columns], *columns).agg(F.count("*").alias("_n"))
+    counters = {
+        f"accepted_values_{tests.table}_{column}": F.count_if(~F.col(column).isin(*allowed))
+        for column, allowed in tests.accepted.items()
+    }
+    for i, (column, (parent, parent_column)) in enumerate(tests.relationships.items()):
+        keys = tables[parent].select(F.col(parent_column).alias(f"_parent{i}")).distinct()
+        values = values.join(keys, F.col(column) == F.col(f"_parent{i}"), "left")
+        orphan = F.col(column).isNotNull() & F.col(f"_parent{i}").isNull()
+        counters[f"relationships_{tests.table}_{column}"] = F.sum(F.when(orphan, F.col("_n")))
+    return _long(values, counters)
 
 
 def _unique_tests(tests: TableTests, df: DataFrame) -> list[DataFrame]:
@@ -126,15 +117,15 @@ def suite_results(tables: Mapping[str, DataFrame], suite: Sequence[TableTests] =
     parts: list[DataFrame] = []
     for tests in suite:
         df = tables[tests.table]
-        rows = _row_tests(tests, df)
-        parts += [rows] if rows is not None else []
-        parts += _value_tests(tests, df, tables)
-        parts += _unique_tests(tests, df)
+        passes = (_row_tests(tests, df), _value_tests(tests, df, tables))
+        parts += [part for part in passes if part is not None] + _unique_tests(tests, df)
     if "gold_daily_revenue" in tables:
         parts.append(_long(quality.negative_revenue(tables["gold_daily_revenue"]), {REVENUE: F.count("*")}))
     if "gold_hourly_patterns" in tables:
         parts.append(_long(quality.invalid_hours(tables["gold_hourly_patterns"]), {HOURS: F.count("*")}))
-    union = reduce(lambda a, b: a.unionByName(b), parts)
+    named = {f"part{i}": part for i, part in enumerate(parts)}
+    text = " UNION ALL ".join(f"SELECT test, failures FROM {{{name}}}" for name in named)
+    union = parts[0].sparkSession.sql(text, **named)  # one analysis of the union instead of one per part
     summed = union.groupBy("test").agg(F.sum("failures").alias("failures"))
     # Differing counts are one violating row.
     failures = F.when(F.col("test") == COUNTS, (F.col("failures") != 0).cast("long")).otherwise(F.col("failures"))
