@@ -6,7 +6,7 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, types as T
 
 from ..operators.upsert import upsert_by_key
 from ..session import delete_path, session_conf
@@ -90,13 +90,20 @@ def append_bronze(df: DataFrame, table: str, partition_by: Sequence[str] = (),
     writer.saveAsTable(table)
 
 
+def create_table(spark: SparkSession, table: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
+    """Create an empty parquet table unless it exists."""
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema.fields)
+    partitions = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {partitions}")
+
+
 def replace_partitions(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
-    """Replace exactly the partitions that the rows belong to; the other partitions are not read or written."""
+    """Replace exactly the partitions that the rows belong to; the other partitions are not read or written.
+
+    The table is created first, so that a failed load leaves an empty table and can be repeated.
+    """
     spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        df.write.format("parquet").partitionBy(*partition_by).option("maxRecordsPerFile", ROWS_PER_FILE).saveAsTable(
-            table)
-        return
+    create_table(spark, table, df.schema, partition_by)
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic",
                       spark__sql__files__maxRecordsPerFile=str(ROWS_PER_FILE)):
         df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
