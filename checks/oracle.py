@@ -304,6 +304,8 @@ FROM silver GROUP BY 1, 2""", "silver"),
 FROM silver WHERE source_month < '1999-01' GROUP BY 1, 2
 UNION ALL SELECT service_type, source_month, COUNT(*), {dbl("SUM(total_amount)")}
 FROM silver WHERE source_month >= '1999-01' AND fare_amount > 0 GROUP BY 1, 2""", "silver"),
+    "l01_fact_partitions": sql(
+        "SELECT strftime(pickup_date_key, '%Y-%m') AS year_month, COUNT(*) AS trips FROM fact GROUP BY 1", "fact"),
     "l05_pruned_count": sql("SELECT COUNT(*) AS trips FROM fact WHERE pickup_date_key BETWEEN DATE '1997-03-01'"
                             " AND DATE '1997-03-31'", "fact"),
     "l06_zone_lookup": sql("SELECT * FROM dim_zone WHERE zone_key = 13", "dim_zone"),

@@ -165,6 +165,13 @@ def s22_upsert(spark, folder):
 
 # -- layout ----------------------------------------------------------------------------------------------------------
 
+@query
+def l01_fact_partitions(spark, folder):
+    """Rows per month partition of the fact; a row outside the declared months would fail the query."""
+    return layout.with_fact_partition(_fact(spark, folder), *DOMAIN).groupBy("year_month").agg(
+        F.count("*").alias("trips"))
+
+
 @query
 def l05_pruned_count(spark, folder):
     return layout.pruned_count(_fact(spark, folder), "1997-03-01", "1997-03-31")

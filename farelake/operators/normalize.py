@@ -19,12 +19,17 @@ def normalize_columns(df: DataFrame, mapping: Mapping[str, str] = RAW_TO_BRONZE)
     return df.select([F.col(f"`{name}`").alias(mapping.get(name, name.lower())) for name in df.columns])
 
 
+_MARK = "_tripdata_"
+
+
 def file_service(path: Column) -> Column:
-    return F.regexp_extract(path, FILE_PATTERN, 1)
+    """Service in a path that matches FILE_PATTERN; plain substrings, since scans evaluate this for every row."""
+    last = F.substring_index(path, _MARK, -2)  # folders above may contain the mark too
+    return F.substring_index(F.substring_index(last, _MARK, 1), "/", -1)
 
 
 def file_month(path: Column) -> Column:
-    return F.regexp_extract(path, FILE_PATTERN, 2)
+    return F.left(F.substring_index(path, _MARK, -1), F.lit(7))
 
 
 def with_lineage(df: DataFrame, service: Column | str, month: Column | str, ts: Column | None = None) -> DataFrame:

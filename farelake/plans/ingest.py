@@ -64,15 +64,15 @@ def update_coverage(spark: SparkSession, root: str, years: Sequence[int] = YEARS
     return replace_table(coverage(grid, loaded, list_files(spark, root)), coverage_table)
 
 
-def _rows_per_path(spark: SparkSession, families: Sequence[Sequence[str]]) -> dict[tuple[str, str], int]:
-    """Row counts per (service, month), from the files' metadata."""
+def _rows_per_month(spark: SparkSession, families: Sequence[Sequence[str]]) -> dict[tuple[str, str], int]:
+    """Row counts per (service, month) of the files; no column is read."""
     counts: dict[tuple[str, str], int] = {}
     for paths in families:
-        path = F.col("_metadata.file_path")
-        found = spark.read.parquet(*paths).groupBy(
-            file_service(path).alias("service"), file_month(path).alias("month")).count()
-        for row in found.collect():  # one row per file of the load calendar
-            counts[row["service"], row["month"]] = row["count"]
+        per_file = spark.read.parquet(*paths).groupBy(F.col("_metadata.file_path").alias("path")).count()
+        per_month = per_file.groupBy(
+            file_service(F.col("path")).alias("service"), file_month(F.col("path")).alias("month")
+        ).agg(F.sum("count").alias("row_count"))
+        counts |= {(r["service"], r["month"]): r["row_count"] for r in per_month.collect()}  # one row per month
     return counts
 
 
@@ -95,7 +95,7 @@ def load_files(spark: SparkSession, files: Sequence[Row], table: str = TRIPS_TAB
 
     def load(parts: Sequence[Sequence[str]]) -> dict[tuple[str, str], int]:
         replace_month(read_files(spark, parts), table)
-        return _rows_per_path(spark, parts)
+        return _rows_per_month(spark, parts)
 
     counts: dict[tuple[str, str], int] = {}
     if groups:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farelake import functions as fx
+from farelake.operators.normalize import file_month, file_service
 from farelake.plans.dims import borough_code, dim_date
 
 
@@ -50,6 +51,13 @@ def test_calendar_parts(spark):
     assert got == pytest.approx(90.5 / 60)
 
 
+def test_lineage_from_paths(spark):
+    paths = ["hdfs:///raw/yellow_tripdata_2024-01.parquet",
+             "s3a://b/x_tripdata_old/green_tripdata_2023-12.parquet/part-00000_c000.snappy.parquet"]
+    got = values(spark, [(p,) for p in paths], "p string", file_service(F.col("p")), file_month(F.col("p")))
+    assert got == [("yellow", "2024-01"), ("green", "2023-12")]
+
+
 def test_hour_bands(spark):
     hours = [0, 5, 6, 9, 10, 11, 12, 15, 16, 17, 18, 19, 20, 23]
     got = values(spark, [(h,) for h in hours], "h int", fx.time_period(F.col("h")), fx.day_band(F.col("h")))
