@@ -19,14 +19,15 @@ def _same(left: str, right: str, names: Sequence[str]) -> Column:
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None,
                  scale: int = 2) -> DataFrame:
     """Rows per (keys, unscaled value). Combined before the shuffle, so a hot group costs no more than its values."""
-    unscaled = (F.col(value).cast(f"decimal(18,{scale})") * (10 ** scale)).cast("long")
     amount = F.count("*") if weight is None else F.sum(weight)
-    return (
+    counted = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*keys, unscaled.alias("_value"))
+        .groupBy(*keys, F.col(value).cast(f"decimal(18,{scale})").alias("_decimal"))
         .agg(amount.alias("_n"))
-        .withColumn("_cell", F.floor(F.col("_value") / CELL_WIDTH))
     )
+    unscaled = (F.col("_decimal") * (10 ** scale)).cast("long")
+    return counted.select(*keys, unscaled.alias("_value"), "_n").withColumn(
+        "_cell", F.floor(F.col("_value") / CELL_WIDTH))
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float],
