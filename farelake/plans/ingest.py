@@ -125,9 +125,10 @@ def load_files(spark: SparkSession, files: Sequence[Row], table: str = TRIPS_TAB
 def ingest(spark: SparkSession, root: str, years: Sequence[int] = YEARS, months: Sequence[int] = MONTHS,
            services: Sequence[str] = SERVICES, table: str = TRIPS_TABLE, coverage_table: str = COVERAGE_TABLE,
            policy: str = "replace") -> DataFrame:
-    """Load the calendar's files into bronze and refresh coverage; returns one status row per file.
+    """Load the calendar's files into bronze and refresh coverage.
 
-    policy 'replace' reloads every file; 'skip' leaves months that already have rows.
+    policy 'replace' reloads every file; 'skip' leaves months that already have rows. Returns one row per month and
+    service of the calendar: loaded, failed, skipped, or missing (no file).
     """
     if policy not in ("replace", "skip"):
         raise ValueError(f"unknown policy {policy}")
@@ -141,18 +142,20 @@ def ingest(spark: SparkSession, root: str, years: Sequence[int] = YEARS, months:
             (f["filename"], f["service_type"], f["source_month"], "skipped", 0, None)
             for f in files.collect() if f["filename"] not in names
         ]
+    absent = month_grid(spark, years, months, services).join(files, list(PARTITION_BY), "left_anti").collect()
+    missing = [(f"{m['service_type']}_tripdata_{m['source_month']}.parquet", m["service_type"], m["source_month"],
+                "missing", 0, None) for m in absent]
     # At most one entry per month and service of the calendar.
     statuses = load_files(spark, todo.orderBy("source_month", "service_type").collect(), table)
     update_coverage(spark, root, years, months, services, table, coverage_table)
-    return spark.createDataFrame(statuses + skipped, STATUS_SCHEMA)
+    return spark.createDataFrame(statuses + skipped + missing, STATUS_SCHEMA)
 
 
 def ingest_summary(statuses: DataFrame) -> DataFrame:
-    """{total_inserted, files_processed, failed, skipped} of one run."""
+    """{total_inserted, files_processed, failed, skipped, missing} of one run."""
     loaded = F.col("status") == "loaded"
     return statuses.agg(
         F.coalesce(F.sum(F.when(loaded, F.col("row_count"))), F.lit(0).cast("long")).alias("total_inserted"),
         F.count_if(loaded).alias("files_processed"),
-        F.count_if(F.col("status") == "failed").alias("failed"),
-        F.count_if(F.col("status") == "skipped").alias("skipped"),
+        *[F.count_if(F.col("status") == status).alias(status) for status in ("failed", "skipped", "missing")],
     )

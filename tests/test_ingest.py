@@ -42,7 +42,8 @@ def test_ingest_with_drift_damage_and_missing_months(spark, tmp_path, layer):
     status = {(r["service_type"], r["source_month"]): (r["status"], r["row_count"])
               for r in load(spark, tmp_path, layer).collect()}
     assert status == {("yellow", "2024-01"): ("loaded", 3), ("yellow", "2024-02"): ("loaded", 4),
-                      ("yellow", "2024-03"): ("failed", 0), ("green", "2024-01"): ("loaded", 5)}
+                      ("yellow", "2024-03"): ("failed", 0), ("green", "2024-01"): ("loaded", 5),
+                      ("green", "2024-02"): ("missing", 0), ("green", "2024-03"): ("missing", 0)}
     assert covered(spark, layer) == {
         ("2024-01", "yellow"): ("loaded", 3), ("2024-02", "yellow"): ("loaded", 4),
         ("2024-03", "yellow"): ("failed", 0), ("2024-01", "green"): ("loaded", 5),
@@ -60,7 +61,7 @@ def test_reload_is_idempotent_and_replaces_only_its_month(spark, tmp_path, layer
     raw_file(tmp_path, "yellow", "2024-02", 4)
     first = load(spark, tmp_path, layer)
     assert ing.ingest_summary(first).first().asDict() == {
-        "total_inserted": 7, "files_processed": 2, "failed": 0, "skipped": 0}
+        "total_inserted": 7, "files_processed": 2, "failed": 0, "skipped": 0, "missing": 4}
     load(spark, tmp_path, layer)
     assert spark.table(f"{layer}.trips").count() == 7
     raw_file(tmp_path, "yellow", "2024-02", 9)
@@ -84,7 +85,8 @@ def test_damaged_data_page_does_not_stop_the_others(spark, tmp_path, layer):
     raw_file(tmp_path, "yellow", "2024-01", 3)
     damaged_page(tmp_path, "yellow", "2024-02")
     raw_file(tmp_path, "green", "2024-02", 4)
-    status = {r["filename"]: (r["status"], bool(r["error"])) for r in load(spark, tmp_path, layer).collect()}
+    status = {r["filename"]: (r["status"], bool(r["error"])) for r in load(spark, tmp_path, layer).collect()
+              if r["status"] != "missing"}
     assert status == {"yellow_tripdata_2024-01.parquet": ("loaded", False),
                       "yellow_tripdata_2024-02.parquet": ("failed", True),
                       "green_tripdata_2024-02.parquet": ("loaded", False)}
@@ -96,8 +98,9 @@ def test_skip_policy(spark, tmp_path, layer):
     load(spark, tmp_path, layer, policy="skip")
     raw_file(tmp_path, "yellow", "2024-01", 30)
     raw_file(tmp_path, "yellow", "2024-02", 4)
-    status = {r["source_month"]: r["status"] for r in load(spark, tmp_path, layer, policy="skip").collect()}
-    assert status == {"2024-01": "skipped", "2024-02": "loaded"}
+    status = {r["source_month"]: r["status"] for r in load(spark, tmp_path, layer, policy="skip").collect()
+              if r["service_type"] == "yellow"}
+    assert status == {"2024-01": "skipped", "2024-02": "loaded", "2024-03": "missing"}
     assert spark.table(f"{layer}.trips").count() == 7
 
 
