@@ -95,8 +95,8 @@ SELECT vendor_id, pickup_datetime, dropoff_datetime,
   {", ".join(f"{money(m)} AS {m}" for m in MONEY_COLUMNS if m != "airport_fee")},
   CASE WHEN service_type = 'yellow' THEN {money("airport_fee")} ELSE CAST(0 AS DECIMAL(10,2)) END AS airport_fee,
   service_type, source_month, CAST(pickup_datetime AS DATE) AS pickup_date,
-  year(pickup_datetime) AS pickup_year, month(pickup_datetime) AS pickup_month,
-  dayofweek(pickup_datetime) AS pickup_day_of_week, hour(pickup_datetime) AS pickup_hour
+  CAST(year(pickup_datetime) AS INTEGER) AS pickup_year, CAST(month(pickup_datetime) AS INTEGER) AS pickup_month,
+  CAST(dayofweek(pickup_datetime) AS INTEGER) AS pickup_day_of_week, CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour
 FROM clean LEFT JOIN zones p ON pu_location_id = p.LocationID LEFT JOIN zones q ON do_location_id = q.LocationID""",
     "fact": f"""
 SELECT pickup_date AS pickup_date_key, pu_location_id AS pu_zone_key, do_location_id AS do_zone_key, service_type,
@@ -322,8 +322,8 @@ FROM bronze""", "bronze"),
         + " FROM bronze GROUP BY 1, 2, 3, 4", "bronze"),
     "v04_numeric_casts": """SELECT l_quantity, CAST(round_even(l_quantity / 2, 0) AS INTEGER) AS half, l_extendedprice,
   CAST(ROUND(CAST(l_extendedprice / 8 AS DECIMAL(20,6)), 2) AS DOUBLE) AS eighth FROM lineitem""",
-    "v05_date_parts": f"""SELECT event_id, {text("CAST(ts AS DATE)")} AS pickup_date, year(ts) AS pickup_year,
-  month(ts) AS pickup_month, dayofweek(ts) AS pickup_day_of_week, hour(ts) AS pickup_hour FROM events""",
+    "v05_date_parts": f"""SELECT event_id, {text("CAST(ts AS DATE)")} AS pickup_date, CAST(year(ts) AS INTEGER) AS pickup_year,
+  CAST(month(ts) AS INTEGER) AS pickup_month, CAST(dayofweek(ts) AS INTEGER) AS pickup_day_of_week, CAST(hour(ts) AS INTEGER) AS pickup_hour FROM events""",
     "v06_enrich_zones": sql("""SELECT p.Borough AS pu_borough, p.Zone AS pu_zone_name, p.service_zone AS pu_service_zone,
   q.Borough AS do_borough, q.Zone AS do_zone_name, q.service_zone AS do_service_zone, COUNT(*) AS trips
 FROM bronze LEFT JOIN (SELECT * FROM zones WHERE service_zone <> 'Yellow Zone') p ON pu_location_id = p.LocationID
@@ -336,9 +336,9 @@ GROUP BY 1, 2, 3, 4, 5, 6""", "bronze", "zones"),
         f"SELECT {_silver(*[m for m in MONEY_COLUMNS if m != 'airport_fee'], 'trip_type', 'pu_service_zone', 'do_service_zone')}"
         " FROM silver WHERE service_type = 'green'", "silver"),
     "v09_silver_unified": sql(f"SELECT {_silver(*MONEY_COLUMNS, 'trip_type')} FROM silver", "silver"),
-    "g01_dim_date": sql(f"""SELECT {text("date_key")} AS date_key, year(date_key) AS year, month(date_key) AS month,
-  day(date_key) AS day, dayofweek(date_key) AS day_of_week, dayofyear(date_key) AS day_of_year,
-  weekofyear(date_key) AS week_of_year, quarter(date_key) AS quarter, {day_name("dayofweek(date_key)")} AS day_name,
+    "g01_dim_date": sql(f"""SELECT {text("date_key")} AS date_key, CAST(year(date_key) AS INTEGER) AS year, CAST(month(date_key) AS INTEGER) AS month,
+  CAST(day(date_key) AS INTEGER) AS day, CAST(dayofweek(date_key) AS INTEGER) AS day_of_week, CAST(dayofyear(date_key) AS INTEGER) AS day_of_year,
+  CAST(weekofyear(date_key) AS INTEGER) AS week_of_year, CAST(quarter(date_key) AS INTEGER) AS quarter, {day_name("dayofweek(date_key)")} AS day_name,
   rpad(strftime(date_key, '%B'), 9, ' ') AS month_name, dayofweek(date_key) IN (0, 6) AS is_weekend,
   strftime(date_key, '%Y-%m') AS year_month, COALESCE(n, 0) AS trips
 FROM (SELECT CAST(unnest(generate_series(DATE '{FROM}', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS date_key)
@@ -504,9 +504,9 @@ WHERE pickup_hour + 12 > 23 GROUP BY 1""", "hourly"),
 FROM orders""",
     "f08_calendar_text": f"""SELECT o_orderkey, {text("CAST(date_trunc('month', o_orderdate) AS DATE)")} AS month,
   strftime(o_orderdate, '%Y-%m') AS year_month, rpad(strftime(o_orderdate, '%B'), 9, ' ') AS month_name,
-  year(o_orderdate) || '-' || lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0') || '-01' AS first_text,
+  year(o_orderdate) || '-' || lpad(CAST(CAST(month(o_orderdate) AS INTEGER) AS VARCHAR), 2, '0') || '-01' AS first_text,
   {text("make_date(CAST(year(o_orderdate) AS INT), CAST(month(o_orderdate) AS INT), 1)")} AS first_date FROM orders""",
-    "f11_bands": f"""SELECT hour(ts) AS hour, {TIME_PERIOD.format(h="hour(ts)")} AS time_period,
+    "f11_bands": f"""SELECT CAST(hour(ts) AS INTEGER) AS hour, {TIME_PERIOD.format(h="hour(ts)")} AS time_period,
   {DAY_BAND.format(h="hour(ts)")} AS day_band, {DAY_TYPE.format(d="dayofweek(ts)")} AS day_type,
   {day_name("dayofweek(ts)")} AS day_name, COUNT(*) AS events FROM events GROUP BY 1, 2, 3, 4, 5""",
     "f12_date_series": """SELECT CAST(CAST(unnest(generate_series(CAST(MIN(ts) AS DATE), CAST(MAX(ts) AS DATE),
