@@ -40,7 +40,6 @@ def session():
         # Local tables are far smaller than the default shuffle partition of 64 MB.
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
         "spark.sql.warehouse.dir": f"{home}/warehouse",
-        "spark.checkpoint.dir": f"{home}/checkpoint",
     })
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -22,7 +22,6 @@ def spark(tmp_path_factory):
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.maxMetadataStringLength": "5000",
         "spark.sql.warehouse.dir": str(home / "warehouse"),
-        "spark.checkpoint.dir": str(home / "checkpoint"),
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

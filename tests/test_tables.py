@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,12 +59,23 @@ def test_csv_and_view(spark, tmp_path):
     assert spark.table("four").count() == 4
 
 
-def test_staging_uses_the_shared_folder(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
-    assert staging_root(spark) == root
+def session_stub(master, **settings):
+    return SimpleNamespace(conf=SimpleNamespace(get=settings.get), sparkContext=SimpleNamespace(master=master))
+
+
+def test_staging_root_is_the_shared_folder():
+    shared = {"spark.checkpoint.dir": "hdfs:///shared/"}
+    for master in ("yarn", "local[2]"):
+        assert staging_root(session_stub(master, **shared)) == "hdfs:///shared"
+    assert staging_root(session_stub("local[2]")).startswith("file:")
+    with pytest.raises(RuntimeError, match="shared folder"):
+        staging_root(session_stub("yarn"))
+
+
+def test_staged_tables_are_removed_on_exit(spark):
     with Staging(spark) as staging:
         staged = staging.write(spark.range(3), "x")
-        assert root in staged.inputFiles()[0] and staged.count() == 3
+        assert staging.path in staged.inputFiles()[0] and staged.count() == 3
         path = staging.path
     with pytest.raises(Exception):
         spark.read.parquet(path + "/*")
