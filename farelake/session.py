@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -46,16 +45,11 @@ def session_conf(spark: SparkSession, **settings: str):
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder for staged tables: the cluster's ``spark.checkpoint.dir``.
-
-    A machine-local folder is used only in local mode, where every task runs on this machine.
-    """
+    """Shared folder for staged tables: ``spark.checkpoint.dir``, or a folder in the warehouse where it is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return "file:" + tempfile.mkdtemp(prefix="farelake-staging-")
-    raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

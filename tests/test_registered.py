@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as driver
 from checks.compare import differences, duck
+from checks.queries import REGISTRY
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -12,10 +13,10 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(REGISTRY) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_equal_to_sql(spark, connection, name):
     assert differences(spark, connection, FOLDER, name) == []
 
