@@ -7,8 +7,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import Staging
-from . import decontaminate, lattice, linededup, quality, simhash
-from .common import append_columns, fold_of
+from . import decontaminate, langid, lattice, licenses, linededup, neargraph, pii, quality, simhash, simple8b
+from .common import fold_of
+
+# The key is the caller's secret; the registered query uses a plain one.
+DEMONSTRATION_KEY = b"farelake demonstration key"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +39,18 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return matched.select("doc_id", F.explode("_llm_matches").alias("match")).select("doc_id", "match.*")
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = fold_of(F.col("doc_id"), 4) == 2
+    model = langid.fit_languages(docs.select("doc_id", "text", "lang").where(~held_out))
+    predicted = langid.predict_languages(docs.select("doc_id", "text"), model)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = linededup.deduplicate_lines(docs, Staging(spark))
@@ -45,6 +61,24 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.crc32("text").alias("text_crc32"))
 
 
+def op7_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neargraph.near_duplicates(table(spark, folder, "embeddings"), Staging(spark))
+
+
+def op8_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_TOKENIZER)
+    target = f"{Staging(spark).path}/corpus"
+    simple8b.write_corpus(table(spark, folder, "documents").select("doc_id", "text"), target, lambda: simple8b.WordEncoder(path))
+    stored = simple8b.read_corpus(spark, target)
+    return stored.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    done = pii.pseudonymise_documents(docs, DEMONSTRATION_KEY)
+    return done.select("doc_id", F.size("pii_spans").alias("n_values"), "text")
+
+
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(corpus_pipeline.PIECES)
     encoded = lattice.encode(table(spark, folder, "documents").select("doc_id", "text"), path, Staging(spark))
@@ -57,7 +91,12 @@ LLM_QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_license_scan": op4_license_scan,
+    "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
+    "op8_token_output": op8_token_output,
+    "op9_pii": op9_pii,
     "op10_sentencepiece": op10_sentencepiece,
     "pipeline": corpus_pipeline.run,
 }
