@@ -114,7 +114,7 @@ def _fold_long(edges: list, size: int) -> list[int]:
             chosen[first] = ids
     out, at = [], 0
     while at < size:
-        out += chosen[at]
+        out.extend(chosen[at])  # an Arrow list comes as a numpy array, for which += would add
         at = following[at]
     return out
 

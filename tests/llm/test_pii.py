@@ -46,12 +46,12 @@ def test_formats(kind, value):
     text = f"see {value}, or {value}."
     out, spans = pii.pseudonymise(text, FEISTEL)
     assert [k for k, _, _ in spans] == [kind, kind] and text[spans[0][1]:spans[0][2]] == value
-    fresh = out[4:4 + len(value)]
-    assert out == f"see {fresh}, or {fresh}." or kind == "ipv4"  # equal values have equal pseudonyms
+    fresh = out[4:out.index(",")]
+    assert out == f"see {fresh}, or {fresh}."  # equal values have equal pseudonyms
     assert fresh != value and pii.pseudonymise(text, pii.Feistel(b"other"))[0] != out
     shape = lambda s: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "0", s)))
     if kind == "ipv4":
-        assert all(0 <= int(n) <= 255 for n in out[4:out.index(",")].split("."))
+        assert all(0 <= int(n) <= 255 for n in fresh.split("."))
     else:
         assert shape(fresh) == shape(value)
     # The pseudonym is a valid value of its kind again.
