@@ -47,7 +47,8 @@ def _ranked(suffixes: DataFrame, keys: list[str], name: str, staging: Staging) -
     groups = suffixes.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
     order = groups.repartitionByRange(*keys).sortWithinPartitions(*keys)
     ranks = staging.write(order.withColumn(name, F.monotonically_increasing_id()), name)
-    return suffixes.join(ranks, keys).drop(*keys)
+    # A merge join at every size: the plan, and with it the growth of the shuffle, does not depend on statistics.
+    return suffixes.join(ranks.hint("merge"), keys).drop(*keys)
 
 
 def repeated_lines(docs: DataFrame, staging: Staging, min_words: int = MIN_WORDS) -> DataFrame:
@@ -114,7 +115,7 @@ def deduplicate_lines(docs: DataFrame, staging: Staging, min_words: int = MIN_WO
     """
     marks = repeated_lines(docs, staging, min_words).groupBy(*KEY).agg(F.array_sort(F.collect_list("line")).alias("_llm_cut"))
     marks = staging.write(marks, "marks")
-    joined = keyed(docs).join(marks, KEY, "left").select(
+    joined = keyed(docs).join(marks.hint("merge"), KEY, "left").select(
         *docs.columns, F.coalesce("_llm_cut", F.array().cast("array<int>")).alias("deleted_lines"))
     pieces = F.split("text", "\n", -1)
 
