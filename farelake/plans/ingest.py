@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from ..operators.normalize import file_month, file_service
+from ..operators.normalize import FILE_PATTERN
 from ..operators.ranking import ascending
 from ..schemas import COVERAGE_COLUMNS, SERVICES
 from ..sinks.tables import ensure_layer, replace_partitions, replace_table
@@ -15,7 +16,8 @@ from ..sources.trips import MONTHS, YEARS, discover_files, file_families, list_f
 TRIPS_TABLE = "bronze.trips"
 COVERAGE_TABLE = "bronze.coverage"
 PARTITION_BY = ("service_type", "source_month")
-STATUS_SCHEMA = "filename string, service_type string, source_month string, status string, row_count long, error string"
+STATUS_SCHEMA = ("filename string, service_type string, source_month string, status string, row_count long, error string, "
+                 "columns_left_out string, filepath string, modified timestamp")
 
 
 def replace_month(df: DataFrame, table: str = TRIPS_TABLE) -> None:
@@ -64,18 +66,22 @@ def update_coverage(spark: SparkSession, root: str, years: Sequence[int] = YEARS
     return replace_table(coverage(grid, loaded, list_files(spark, root)), coverage_table)
 
 
-def _rows_per_month(spark: SparkSession, families: Sequence[Sequence[str]]) -> dict[tuple[str, str], int]:
-    """Row counts per (service, month) of the files; no column is read."""
-    counts: dict[tuple[str, str], int] = {}
+def _rows_per_file(spark: SparkSession, families: Sequence[Sequence[str]]) -> dict[str, int]:
+    """Row counts per file, or folder of part files; no column is read."""
+    counts: dict[str, int] = {}
     for paths in families:
-        per_file = spark.read.parquet(*paths).groupBy(F.col("_metadata.file_path").alias("path")).count()
-        per_month = per_file.groupBy(
-            file_service(F.col("path")).alias("service"), file_month(F.col("path")).alias("month")
-        ).agg(F.sum("count").alias("row_count"))
-        counts |= {(r["service"], r["month"]): r["row_count"] for r in per_month.collect()}  # one row per month
+        path = F.regexp_extract(F.col("_metadata.file_path"), rf"({FILE_PATTERN})", 1)
+        parent = F.regexp_extract(F.col("_metadata.file_path"), rf"^(.*/{FILE_PATTERN})", 1)
+        per_file = spark.read.parquet(*paths).where(path != "").groupBy(parent.alias("path")).count()
+        counts |= {_plain(row["path"]): row["count"] for row in per_file.collect()}  # one row per file of the calendar
     return counts
 
 
+def _plain(path: str) -> str:
+    """One spelling of a local path: file:/x and file:///x are the same."""
+    return re.sub(r"^file:/+", "file:/", path)
+
+
 def _drop_months(spark: SparkSession, table: str, months: Sequence[tuple[str, str]]) -> None:
     if months and spark.catalog.tableExists(table):
         for service, month in months:
@@ -86,39 +92,51 @@ def _drop_months(spark: SparkSession, table: str, months: Sequence[tuple[str, st
 def load_files(spark: SparkSession, files: Sequence[Row], table: str = TRIPS_TABLE) -> list[tuple]:
     """Load the given files (rows of ``discover_files``), one status row per file.
 
-    Normally all readable files are loaded by one job. If that job fails, for example on a damaged data page, each
-    file is loaded by its own job so that only the bad ones fail. A failed file leaves its month as it was.
+    The unit is the (service, month): all of its files must be given, and they replace its rows together. Normally all
+    months are loaded by one job. If that job fails, for example on a damaged data page, each month is loaded by its own
+    job. A month with a file that fails keeps its old rows, and all of its files are reported as failed.
     """
-    families, broken = file_families(spark, [f["filepath"] for f in files])
-    groups = list(families.values())
-    errors = dict(broken)
-
-    def load(parts: Sequence[Sequence[str]]) -> dict[tuple[str, str], int]:
-        replace_month(read_files(spark, parts), table)
-        return _rows_per_month(spark, parts)
-
-    counts: dict[tuple[str, str], int] = {}
-    if groups:
+    families, broken, unknown = file_families(spark, [f["filepath"] for f in files])
+    schema_of = {path: schema for schema, paths in families.items() for path in paths}
+    months: dict[tuple[str, str], list[str]] = {}
+    for f in files:
+        months.setdefault((f["service_type"], f["source_month"]), []).append(f["filepath"])
+    errors = {month: next(f"{path}: {broken[path]}" for path in paths if path in broken)
+              for month, paths in months.items() if any(path in broken for path in paths)}
+    counts: dict[str, int] = {}
+
+    def load(some: Sequence[tuple[str, str]]) -> None:
+        grouped: dict[str, list[str]] = {}
+        for month in some:
+            for path in months[month]:
+                grouped.setdefault(schema_of[path], []).append(path)
+        replace_month(read_files(spark, list(grouped.values())), table)
+        counts.update(_rows_per_file(spark, list(grouped.values())))
+
+    readable = [month for month in months if month not in errors]
+    if readable:
         try:
-            counts = load(groups)
-        except Exception:  # noqa: BLE001 - find the file at fault below
-            for path in [path for paths in groups for path in paths]:
+            load(readable)
+        except Exception:  # noqa: BLE001 - find the month at fault below
+            for month in readable:
                 try:
-                    counts.update(load([[path]]))
+                    load([month])
                 except Exception as error:  # noqa: BLE001
-                    errors[path] = str(error).splitlines()[0]
+                    errors[month] = str(error)
 
-    statuses, emptied = [], []
+    statuses = []
     for f in files:
-        key = (f["service_type"], f["source_month"])
-        if f["filepath"] in errors:
-            statuses.append((f["filename"], *key, "failed", 0, errors[f["filepath"]]))
-            continue
-        rows = counts.get(key, 0)
-        if rows == 0:
-            emptied.append(key)
-        statuses.append((f["filename"], *key, "loaded", rows, None))
-    _drop_months(spark, table, emptied)  # an empty file replaces its month by nothing
+        month = (f["service_type"], f["source_month"])
+        about = (unknown.get(f["filepath"]), f["filepath"], f["modified"])
+        if month in errors:
+            reason = broken.get(f["filepath"]) or errors[month]
+            statuses.append((f["filename"], *month, "failed", 0, reason, *about))
+        else:
+            statuses.append((f["filename"], *month, "loaded", counts.get(_plain(f["filepath"]), 0), None, *about))
+    # Files without rows replace their month by nothing.
+    emptied = [month for month, paths in months.items()
+               if month not in errors and not any(counts.get(_plain(path), 0) for path in paths)]
+    _drop_months(spark, table, emptied)
     return statuses
 
 
@@ -137,15 +155,15 @@ def ingest(spark: SparkSession, root: str, years: Sequence[int] = YEARS, months:
     todo, skipped = files, []
     if policy == "skip" and spark.catalog.tableExists(table):
         todo = pending_months(files, loaded_months(spark.table(table)))
-        names = {row["filename"] for row in todo.select("filename").collect()}
+        names = {row["filepath"] for row in todo.select("filepath").collect()}
         skipped = [
-            (f["filename"], f["service_type"], f["source_month"], "skipped", 0, None)
-            for f in files.collect() if f["filename"] not in names
+            (f["filename"], f["service_type"], f["source_month"], "skipped", 0, None, None, f["filepath"], f["modified"])
+            for f in files.collect() if f["filepath"] not in names
         ]
     absent = month_grid(spark, years, months, services).join(files, list(PARTITION_BY), "left_anti").collect()
     missing = [(f"{m['service_type']}_tripdata_{m['source_month']}.parquet", m["service_type"], m["source_month"],
-                "missing", 0, None) for m in absent]
-    # At most one entry per month and service of the calendar.
+                "missing", 0, None, None, None, None) for m in absent]
+    # Names and times of the calendar's files.
     statuses = load_files(spark, todo.orderBy("source_month", "service_type").collect(), table)
     update_coverage(spark, root, years, months, services, table, coverage_table)
     return spark.createDataFrame(statuses + skipped + missing, STATUS_SCHEMA)

@@ -8,4 +8,5 @@ from ..schemas import PASSENGER_CSV_SCHEMA
 
 
 def scan_passengers(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=PASSENGER_CSV_SCHEMA, quote='"', escape='"')
+    """All columns of the list; a malformed value fails instead of becoming a missing one."""
+    return spark.read.csv(path, header=True, schema=PASSENGER_CSV_SCHEMA, quote='"', escape='"', mode="FAILFAST")

@@ -1,57 +1,65 @@
-"""Incremental ingest: each new monthly file is picked up once and replaces its month."""
+"""Incremental ingest: new, changed and failed monthly files replace their months."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.normalize import FILE_PATTERN, file_month, file_service
-from ..plans.ingest import STATUS_SCHEMA, TRIPS_TABLE, load_files
+from ..operators.normalize import FILE_PATTERN
+from ..plans.ingest import COVERAGE_TABLE, PARTITION_BY, STATUS_SCHEMA, TRIPS_TABLE, load_files, update_coverage
+from ..schemas import SERVICES
 from ..sinks.tables import append_bronze, ensure_layer
+from ..sources.trips import MONTHS, YEARS, list_files, month_grid
 
 LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def new_files(spark: SparkSession, root: str, files_per_batch: int = 100) -> DataFrame:
-    """Stream of trip file paths. Only names travel through the stream, so files of any schema can arrive."""
-    listed = (
-        spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .option("pathGlobFilter", "*_tripdata_*.parquet")
-        .load(root)
-        .select(F.col("path").alias("filepath"))
-        .where(F.col("filepath").rlike(FILE_PATTERN))
-    )
-    return listed.select(
-        "filepath", F.substring_index("filepath", "/", -1).alias("filename"),
-        file_service(F.col("filepath")).alias("service_type"), file_month(F.col("filepath")).alias("source_month"))
+def pending_files(files: DataFrame, log: DataFrame) -> DataFrame:
+    """All files of every month that has a file which the log doesn't show as loaded with this modification time."""
+    done = log.where("status = 'loaded'").select("filepath", "modified").distinct()
+    open_months = files.join(done, ["filepath", "modified"], "left_anti").select(*PARTITION_BY).distinct()
+    return files.join(open_months, list(PARTITION_BY), "left_semi")
 
 
-def ingest_stream(spark: SparkSession, root: str, checkpoint: str, table: str = TRIPS_TABLE,
-                  log_table: str = "bronze.ingest_log", files_per_batch: int = 100,
-                  strict: bool = False) -> StreamingQuery:
-    """Load all files that arrived since the last run, then stop.
+def ingest_changes(spark: SparkSession, root: str, table: str = TRIPS_TABLE, log_table: str = "bronze.ingest_log",
+                   coverage_table: str = COVERAGE_TABLE, years: Sequence[int] = YEARS, months: Sequence[int] = MONTHS,
+                   services: Sequence[str] = SERVICES, strict: bool = False) -> DataFrame:
+    """One run: load what is new, changed or failed before, log every file, refresh coverage.
 
-    A replayed batch replaces the same months again, so a restart does not duplicate rows. The status of every file goes
-    to the log table. A file that cannot be read does not hold up the others; with ``strict`` it fails the run, and the
-    next run tries its batch again.
+    Files are listed as in the batch load, for the calendar and its services only. A run that was stopped is repeated
+    by the next one, since months are replaced and the log is written after them. With ``strict`` a failed file fails
+    the run after the others are loaded and logged.
     """
-    for name in (table, log_table):
+    for name in (table, log_table, coverage_table):
         ensure_layer(spark, name.split(".")[0])
+    calendar = month_grid(spark, years, months, services).select(*PARTITION_BY)
+    files = list_files(spark, root).join(calendar, list(PARTITION_BY), "left_semi")
+    if spark.catalog.tableExists(log_table):
+        files = pending_files(files, spark.table(log_table))
+    statuses = load_files(spark, files.orderBy(*PARTITION_BY, "filepath").collect(), table)  # names of the calendar's files
+    if statuses:
+        append_bronze(spark.createDataFrame(statuses, STATUS_SCHEMA), log_table)
+    update_coverage(spark, root, years, months, services, table, coverage_table)
+    failed = [f"{s[0]}: {s[5]}" for s in statuses if s[3] == "failed"]
+    if strict and failed:
+        raise RuntimeError("; ".join(failed))
+    return spark.createDataFrame(statuses, STATUS_SCHEMA)
+
+
+def ingest_stream(spark: SparkSession, root: str, checkpoint: str, table: str = TRIPS_TABLE, log_table: str = "bronze.ingest_log",
+                  coverage_table: str = COVERAGE_TABLE, trigger: str = "1 minute", **calendar) -> StreamingQuery:
+    """Runs ``ingest_changes`` whenever files with new names arrive. Only names travel through the stream."""
+    arrived = (
+        spark.readStream.format("binaryFile").schema(LISTING_SCHEMA).option("recursiveFileLookup", "true").load(root)
+        .select("path").where(F.col("path").rlike(FILE_PATTERN))
+    )
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
+    def run(_names: DataFrame, _batch_id: int) -> None:
         # The caller's session writes the tables, so that its cached file listings stay current.
-        statuses = load_files(spark, batch.collect(), table)  # at most files_per_batch names
-        if statuses:
-            append_bronze(spark.createDataFrame(statuses, STATUS_SCHEMA), log_table)
-        failed = [f"{s[0]}: {s[5]}" for s in statuses if s[3] == "failed"]
-        if strict and failed:
-            raise RuntimeError("; ".join(failed))
+        ingest_changes(spark, root, table, log_table, coverage_table, **calendar)
 
     return (
-        new_files(spark, root, files_per_batch).writeStream
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(load)
-        .start()
+        arrived.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime=trigger).foreachBatch(run).start()
     )

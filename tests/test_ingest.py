@@ -93,6 +93,30 @@ def test_damaged_data_page_does_not_stop_the_others(spark, tmp_path, layer):
     assert spark.table(f"{layer}.trips").count() == 7
 
 
+def test_failed_file_leaves_its_whole_month(spark, tmp_path, layer):
+    (tmp_path / "deep").mkdir()
+    raw_file(tmp_path, "yellow", "2024-01", 3)
+    raw_file(tmp_path / "deep", "yellow", "2024-01", 4)
+    damaged_page(tmp_path, "yellow", "2024-02")  # makes the joint job fail
+    rows = load(spark, tmp_path, layer)
+    status = sorted((r["source_month"], r["status"], r["row_count"]) for r in rows.collect() if r["service_type"] == "yellow")
+    assert status == [("2024-01", "loaded", 3), ("2024-01", "loaded", 4), ("2024-02", "failed", 0), ("2024-03", "missing", 0)]
+    assert ing.ingest_summary(rows).first()["total_inserted"] == 7 == spark.table(f"{layer}.trips").count()
+    damaged_file(tmp_path / "deep", "yellow", "2024-01")
+    raw_file(tmp_path, "yellow", "2024-01", 50)
+    rows = [r for r in load(spark, tmp_path, layer).collect() if r["source_month"] == "2024-01" and r["service_type"] == "yellow"]
+    assert [r["status"] for r in rows] == ["failed", "failed"]
+    assert spark.table(f"{layer}.trips").count() == 7  # as before
+    assert all("\n" in r["error"] or len(r["error"]) > 60 for r in rows)  # the whole reason
+
+
+def test_columns_without_a_place_are_reported(spark, tmp_path, layer):
+    raw_file(tmp_path, "yellow", "2024-01", 3, extra={"Surprise": 1, "Other": 2})
+    raw_file(tmp_path, "green", "2024-01", 3)
+    rows = {r["service_type"]: r["columns_left_out"] for r in load(spark, tmp_path, layer, months=[1]).collect()}
+    assert rows == {"yellow": "Other, Surprise", "green": None}
+
+
 def test_skip_policy(spark, tmp_path, layer):
     raw_file(tmp_path, "yellow", "2024-01", 3)
     load(spark, tmp_path, layer, policy="skip")
@@ -130,6 +154,10 @@ def test_trip_csv(spark, tmp_path):
     path.write_text("VendorID,passenger_count,tpep_pickup_datetime\n1,2.0,2024-01-01 00:00:00\n2,,2024-01-01 01:00:00\n")
     assert trips.scan_trips_csv(spark, str(path)).dtypes == [
         ("VendorID", "int"), ("passenger_count", "double"), ("tpep_pickup_datetime", "timestamp")]
+    path.write_text("VendorID,passenger_count\n1,two\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        trips.scan_trips_csv(spark, str(path), "VendorID long, passenger_count double").collect()
+    path.write_text("VendorID,passenger_count,tpep_pickup_datetime\n1,2.0,x\n")
     fixed = trips.scan_trips_csv(spark, str(path), "VendorID long, passenger_count double, t string")
     assert fixed.first()["VendorID"] == 1
 

@@ -1,47 +1,85 @@
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
 from files import damaged_file, raw_file
-from farelake.streaming.monthly import ingest_stream
+from farelake.streaming.monthly import ingest_changes, ingest_stream
+
+CALENDAR = {"years": [2024], "months": [1, 2, 3]}
 
 
-def run(spark, raw, checkpoint, table):
-    query = ingest_stream(spark, str(raw), str(checkpoint), table, "bronze_stream.log", files_per_batch=2)
-    query.awaitTermination()
+def run(spark, raw, layer, **more):
+    return ingest_changes(spark, str(raw), f"{layer}.trips", f"{layer}.log", f"{layer}.coverage", **CALENDAR, **more)
 
 
-def months(spark, table):
+def months(spark, layer):
     return {(r["service_type"], r["source_month"]): r["count"]
-            for r in spark.table(table).groupBy("service_type", "source_month").count().collect()}
+            for r in spark.table(f"{layer}.trips").groupBy("service_type", "source_month").count().collect()}
 
 
-def test_new_files_are_loaded_once(spark, tmp_path):
-    raw, checkpoint, table = tmp_path / "raw", tmp_path / "checkpoint", "bronze_stream.trips"
-    raw.mkdir()
-    for month in ("2024-01", "2024-02", "2024-03"):
-        raw_file(raw, "yellow", month, 3)
+def later(path, seconds):
+    """Set the modification time: some file systems keep whole seconds."""
+    os.utime(path, (os.stat(path).st_mtime + seconds,) * 2)
+
+
+def test_new_changed_and_repaired_files(spark, tmp_path):
+    layer, raw = "bronze_changes", tmp_path / "raw"
+    (raw / "deep").mkdir(parents=True)
+    raw_file(raw, "yellow", "2024-01", 3)
+    raw_file(raw / "deep", "yellow", "2024-01", 4)  # a month of two files
     raw_file(raw, "green", "2024-01", 5)
-    run(spark, raw, checkpoint, table)
-    expected = {("yellow", f"2024-0{m}"): 3 for m in (1, 2, 3)} | {("green", "2024-01"): 5}
-    assert months(spark, table) == expected
-    run(spark, raw, checkpoint, table)
-    assert months(spark, table) == expected
-    raw_file(raw, "green", "2024-02", 2)
-    run(spark, raw, checkpoint, table)
-    assert months(spark, table) == expected | {("green", "2024-02"): 2}
-    # A replay of everything (lost checkpoint) does not duplicate rows.
-    run(spark, raw, tmp_path / "other", table)
-    assert months(spark, table) == expected | {("green", "2024-02"): 2}
-
-
-def test_unreadable_file_is_logged_and_does_not_hold_up_others(spark, tmp_path):
-    raw, table = tmp_path / "raw", "bronze_stream_bad.trips"
+    raw_file(raw, "fhv", "2024-01", 7)              # not a service of the calendar
+    raw_file(raw, "green", "2023-12", 5)            # not a month of the calendar
+    damaged_file(raw, "green", "2024-02")
+    status = {(r["service_type"], r["source_month"], r["status"]) for r in run(spark, raw, layer).collect()}
+    assert status == {("yellow", "2024-01", "loaded"), ("green", "2024-01", "loaded"), ("green", "2024-02", "failed")}
+    expected = {("yellow", "2024-01"): 7, ("green", "2024-01"): 5}
+    assert months(spark, layer) == expected
+    covered = {(r["service_type"], r["year_month"]): r["status"] for r in spark.table(f"{layer}.coverage").collect()}
+    assert covered["green", "2024-02"] == "failed" and covered["yellow", "2024-02"] == "missing"
+    # Nothing new but the failed file, which is tried again.
+    assert [r["status"] for r in run(spark, raw, layer).collect()] == ["failed"]
+    later(raw_file(raw, "green", "2024-02", 2), 5)
+    later(raw_file(raw, "yellow", "2024-01", 30), 5)
+    assert run(spark, raw, layer).count() == 3
+    assert months(spark, layer) == {("yellow", "2024-01"): 34, ("green", "2024-01"): 5, ("green", "2024-02"): 2}
+    assert run(spark, raw, layer).count() == 0
+    assert spark.table(f"{layer}.coverage").where("status = 'loaded'").count() == 3
+
+
+def test_folder_of_part_files(spark, tmp_path):
+    layer, raw = "bronze_parts", tmp_path / "raw"
+    raw.mkdir()
+    (tmp_path / "one").mkdir()
+    source = raw_file(tmp_path / "one", "yellow", "2024-01", 8)
+    spark.read.parquet(source).repartition(3).write.parquet(str(raw / "yellow_tripdata_2024-01.parquet"))
+    rows = run(spark, raw, layer).collect()
+    assert [(r["status"], r["row_count"]) for r in rows] == [("loaded", 8)]
+    assert run(spark, raw, layer).count() == 0
+
+
+def test_strict_fails_after_the_others_are_loaded(spark, tmp_path):
+    layer, raw = "bronze_strict", tmp_path / "raw"
     raw.mkdir()
     damaged_file(raw, "yellow", "2024-01")
     raw_file(raw, "green", "2024-01", 5)
-    ingest_stream(spark, str(raw), str(tmp_path / "c1"), table, "bronze_stream_bad.log").awaitTermination()
-    assert months(spark, table) == {("green", "2024-01"): 5}
-    log = {r["filename"]: r["status"] for r in spark.table("bronze_stream_bad.log").collect()}
-    assert log == {"yellow_tripdata_2024-01.parquet": "failed", "green_tripdata_2024-01.parquet": "loaded"}
-    with pytest.raises(Exception, match="yellow_tripdata_2024-01"):
-        ingest_stream(spark, str(raw), str(tmp_path / "c2"), table, "bronze_stream_bad.log",
-                      strict=True).awaitTermination()
+    with pytest.raises(RuntimeError, match="yellow_tripdata_2024-01"):
+        run(spark, raw, layer, strict=True)
+    assert months(spark, layer) == {("green", "2024-01"): 5}
+
+
+def test_stream_starts_a_run_for_new_names(spark, tmp_path):
+    layer, raw = "bronze_stream", tmp_path / "raw"
+    raw.mkdir()
+    raw_file(raw, "yellow", "2024-01", 3)
+    query = ingest_stream(spark, str(raw), str(tmp_path / "checkpoint"), f"{layer}.trips", f"{layer}.log", f"{layer}.coverage",
+                          "1 second", **CALENDAR)
+    try:
+        query.processAllAvailable()
+        raw_file(raw, "green", "2024-02", 2)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert months(spark, layer) == {("yellow", "2024-01"): 3, ("green", "2024-02"): 2}
+    assert spark.table(f"{layer}.log").where(F.col("status") == "loaded").count() == 2

@@ -21,7 +21,7 @@ def test_replace_reads_its_own_table_and_survives_a_failed_write(spark):
     with pytest.raises(Exception):
         t.replace_table(spark.range(3).select(F.raise_error(F.lit("stop")).cast("long").alias("id")), "sink.a")
     assert spark.table("sink.a").count() == 3
-    assert [r["tableName"] for r in spark.sql("SHOW TABLES IN sink LIKE 'a*'").collect()] in (["a"], ["a", "a__new"])
+    assert [r["tableName"] for r in spark.sql("SHOW TABLES IN sink LIKE 'a*'").collect()] in (["a", "a__old"], ["a", "a__new", "a__old"])
     assert t.replace_table(spark.range(2), "sink.a").count() == 2
 
 
@@ -59,17 +59,49 @@ def test_csv_and_view(spark, tmp_path):
     assert spark.table("four").count() == 4
 
 
-def session_stub(master, **settings):
-    return SimpleNamespace(conf=SimpleNamespace(get=settings.get), sparkContext=SimpleNamespace(master=master))
-
-
-def test_staging_root_is_the_shared_folder():
-    shared = {"spark.checkpoint.dir": "hdfs:///shared/"}
-    for master in ("yarn", "local[2]"):
-        assert staging_root(session_stub(master, **shared)) == "hdfs:///shared"
-    assert staging_root(session_stub("local[2]")).startswith("file:")
-    with pytest.raises(RuntimeError, match="shared folder"):
-        staging_root(session_stub("yarn"))
+@pytest.mark.parametrize("stop_at", [1, 2, 3])
+def test_interrupted_swap_loses_nothing(spark, monkeypatch, stop_at):
+    name = f"sink.swap{stop_at}"
+    rows = spark.createDataFrame([(n, "old") for n in range(5)], "k int, v string")
+    batch = spark.createDataFrame([(0, "new"), (9, "new")], "k int, v string")
+    t.replace_table(rows, name)
+    t.replace_table(rows, name)  # now there is a previous version as well
+    real, calls = type(spark).sql, []
+
+    def stopping(self, text, *args, **kwargs):
+        if "RENAME" in text or "DROP" in text:
+            calls.append(text)
+            if len(calls) == stop_at:
+                raise KeyboardInterrupt
+        return real(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", stopping)
+    with pytest.raises(KeyboardInterrupt):
+        t.upsert_table(batch, name, ["k"])
+    monkeypatch.undo()
+    out = t.upsert_table(batch, name, ["k"])
+    assert {tuple(r) for r in out.collect()} == {(0, "new"), (9, "new")} | {(n, "old") for n in range(1, 5)}
+
+
+def test_upsert_rewrites_touched_partitions_only(spark):
+    rows = spark.createDataFrame([(n, p, "old") for n in range(4) for p in ("a", "b", None)], "k int, p string, v string")
+    t.replace_table(rows, "sink.touch", ["p"])
+    files = lambda: {r[0] for r in spark.table("sink.touch").where("p = 'b'").select(F.input_file_name()).distinct().collect()}
+    before = files()
+    batch = spark.createDataFrame([(1, "a", "new"), (7, "a", "new"), (8, None, "new")], "k int, p string, v string")
+    t.upsert_table(batch.select("k", "v", "p"), "sink.touch", ["k", "p"], ["p"])
+    got = {tuple(r) for r in spark.table("sink.touch").select("k", "p", "v").collect()}
+    wanted = {(n, p, "old") for n in range(4) for p in ("a", "b", None)} - {(1, "a", "old")}
+    assert got == wanted | {(1, "a", "new"), (7, "a", "new"), (8, None, "new")} and files() == before
+
+
+def session_stub(**settings):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda name, *default: settings.get(name, *default)))
+
+
+def test_staging_root_is_a_shared_folder():
+    assert staging_root(session_stub(**{"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"
+    assert staging_root(session_stub(**{"spark.sql.warehouse.dir": "hdfs:///warehouse"})) == "hdfs:///warehouse/_staging"
 
 
 def test_staged_tables_are_removed_on_exit(spark):
