@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
-from farelake.plans import dims as d
-from farelake.functions.temporal import DAY_NAMES
-from farelake.operators.clean import DEFAULTS
-from farelake.schemas import MONEY_COLUMNS
+# Fixed values, written out here so that the package's own constants are compared with something.
+DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
+MONEY_COLUMNS = ("fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge",
+                 "airport_fee", "total_amount")
+DEFAULTS = {"passenger_count": 1, "ratecode_id": 1, "store_and_fwd_flag": "N", "payment_type": 5, "trip_type": 1,
+            **{name: 0 for name in MONEY_COLUMNS}}
+BOROUGH_CASE = ("CASE {b} WHEN 'Manhattan' THEN 1 WHEN 'Brooklyn' THEN 2 WHEN 'Queens' THEN 3 WHEN 'Bronx' THEN 4"
+                " WHEN 'Staten Island' THEN 5 WHEN 'EWR' THEN 6 ELSE 7 END")
+SERVICE_ROWS = (("yellow", "Yellow Taxi", "Medallion taxis that can pick up passengers anywhere in NYC"),
+                ("green", "Green Taxi", "Boro taxis that primarily serve outer boroughs"))
+PAYMENT_ROWS = ((1, "card", "Credit Card", "Payment made via credit card"), (2, "cash", "Cash", "Payment made in cash"),
+                (3, "other", "No Charge", "No charge for the trip"), (4, "other", "Dispute", "Disputed transaction"),
+                (5, "other", "Unknown", "Unknown payment method"), (6, "other", "Voided Trip", "Trip was voided"))
+VENDOR_ROWS = ((0, "Unknown", "Unknown vendor"), (1, "Creative Mobile Technologies", "CMT - Technology provider for taxi meters"),
+               (2, "VeriFone Inc", "VTS - Technology provider for taxi meters"))
+RATE_ROWS = ((1, "Standard Rate", "Standard metered fare"), (2, "JFK", "JFK Airport flat fare"), (3, "Newark", "Newark Airport"),
+             (4, "Nassau/Westchester", "Trips to Nassau or Westchester"),
+             (5, "Negotiated Fare", "Negotiated fare between driver and passenger"), (6, "Group Ride", "Group ride shared fare"))
 
 FROM, TO = "1995-01-01", "2002-01-01"
 IN_YEAR = "pickup_date_key >= DATE '1997-01-01' AND pickup_date_key < DATE '1998-01-01'"
@@ -107,13 +121,12 @@ SELECT pickup_date AS pickup_date_key, pu_location_id AS pu_zone_key, do_locatio
 FROM silver WHERE pickup_date >= DATE '{FROM}' AND pickup_date < DATE '{TO}'""",
     "year_fact": f"SELECT * FROM fact WHERE {IN_YEAR}",
     "dim_zone": "SELECT LocationID AS zone_key, Borough AS borough, Zone AS zone_name, service_zone,"
-                " CASE Borough " + " ".join(f"WHEN '{b}' THEN {c}" for b, c in d.BOROUGH_CODES.items())
-                + f" ELSE {d.OTHER_BOROUGH} END AS borough_code FROM zones",
-    "dim_service_type": values(d.SERVICE_TYPES, "service_type, service_name, service_description", "t"),
+                f" {BOROUGH_CASE.format(b='Borough')} AS borough_code FROM zones",
+    "dim_service_type": values(SERVICE_ROWS, "service_type, service_name, service_description", "t"),
     "dim_payment_type": values(
-        d.PAYMENT_TYPES, "payment_type_id, payment_type, payment_type_name, payment_type_description", "t"),
-    "dim_vendor": values(d.VENDORS, "vendor_id, vendor_name, vendor_description", "t"),
-    "dim_rate_code": values(d.RATE_CODES, "rate_code_id, rate_code_name, rate_code_description", "t"),
+        PAYMENT_ROWS, "payment_type_id, payment_type, payment_type_name, payment_type_description", "t"),
+    "dim_vendor": values(VENDOR_ROWS, "vendor_id, vendor_name, vendor_description", "t"),
+    "dim_rate_code": values(RATE_ROWS, "rate_code_id, rate_code_name, rate_code_description", "t"),
     "grid": """
 SELECT strftime(make_date(CAST(y AS INT), CAST(m AS INT), 1), '%Y-%m') AS source_month, s AS service_type
 FROM range(1994, 2003) a(y), range(1, 13) b(m), (VALUES ('yellow'), ('green')) c(s)""",
@@ -517,3 +530,66 @@ FROM orders""",
   {r2("COUNT(CASE WHEN o_orderstatus = 'F' THEN 1 END) * 100.0::DOUBLE / COUNT(*)")} AS finished_percentage,
   COUNT(*) AS orders FROM orders GROUP BY 1""",
 }
+
+
+# -- through files and stored tables ---------------------------------------------------------------------------------
+
+_TOTALS = "COUNT(*) AS trips, CAST(SUM(CAST(total_amount AS DECIMAL(14,2))) AS DOUBLE) AS revenue"
+_FILE_MONTH = "SUBSTR(source_month, 1, 4) || '-01'"
+_FILES = f"""SELECT service_type || '_tripdata_' || {_FILE_MONTH} || '.parquet' AS filename, service_type,
+  {_FILE_MONTH} AS source_month, COUNT(*) AS n FROM bronze GROUP BY 1, 2, 3"""
+_PASSENGERS = """SELECT CAST(c_custkey AS INT) AS "PassengerId", CAST(c_custkey % 2 AS INT) AS "Survived",
+  CAST(c_custkey % 3 + 1 AS INT) AS "Pclass", c_name AS "Name", 'x' AS "Sex",
+  CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey % 80 AS DOUBLE) END AS "Age", CAST(c_nationkey % 4 AS INT) AS "SibSp",
+  CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 6 AS INT) END AS "Parch", c_mktsegment AS "Ticket", c_acctbal AS "Fare",
+  'S' AS "Embarked" FROM customer"""
+_NUMBERS = '"Age", "Fare", "Parch", "Pclass", "SibSp", "Survived"'
+
+
+def _upper_median(column: str, source: str) -> str:
+    return (f"(SELECT {column} FROM (SELECT {column}, row_number() OVER (ORDER BY {column}) - 1 AS r FROM {source}"
+            f" WHERE {column} IS NOT NULL) WHERE r = (SELECT COUNT({column}) // 2 FROM {source}))")
+
+
+ORACLE |= {
+    "s01_scan_month_files": sql(f"SELECT service_type, {_FILE_MONTH} AS source_month, {_TOTALS} FROM bronze GROUP BY 1, 2", "bronze"),
+    "s02_discover_files": sql(
+        "SELECT filename, service_type, source_month, CAST(SUBSTR(source_month, 1, 4) AS INT) AS year, CAST(1 AS INT) AS month"
+        f" FROM ({_FILES})", "bronze"),
+    "s03_zone_csv": sql("SELECT * FROM zones", "zones"),
+    "s04_zone_if_missing": sql('SELECT Borough, COUNT(*) AS zones FROM zones GROUP BY 1', "zones"),
+    "s05_zone_seed": sql("SELECT LocationID, COALESCE(Borough, 'N/A') AS Borough, Zone, service_zone FROM zones", "zones"),
+    "s06_trip_csv": sql(f"SELECT service_type, payment_type, {_TOTALS} FROM bronze GROUP BY 1, 2", "bronze"),
+    "s07_passenger_csv": _PASSENGERS,
+    "s11_append": "SELECT l_returnflag, l_linestatus, COUNT(*) AS lines FROM lineitem GROUP BY 1, 2",
+    "s13_replace_month": sql(f"SELECT service_type, source_month, {_TOTALS} FROM bronze WHERE NOT starts_with(source_month, '1999')"
+                             " OR fare_amount > 20000 GROUP BY 1, 2", "bronze"),
+    "s15_ingest_status": sql(f"""SELECT filename, service_type, source_month, 'loaded' AS status, n AS row_count,
+  CAST(NULL AS VARCHAR) AS error, CAST(NULL AS VARCHAR) AS columns_left_out FROM ({_FILES})
+UNION ALL SELECT s || '_tripdata_2002-01.parquet', s, '2002-01', 'missing', 0, NULL, NULL
+FROM (VALUES ('yellow'), ('green')) t(s)""", "bronze"),
+    "s17_replace": "SELECT o_orderpriority, COUNT(*) AS orders FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1",
+    "s18_csv_sink": "SELECT p_brand, COUNT(*) AS parts, CAST(SUM(p_size) AS BIGINT) AS size FROM part GROUP BY 1",
+    "s21_materialize": "SELECT l_suppkey, COUNT(*) AS lines FROM lineitem GROUP BY 1",
+    "s23_changes": sql(f"""SELECT source_month AS year_month, service_type, 'loaded' AS status, n AS row_count, CAST(1 AS BIGINT) AS logged
+FROM ({_FILES}) UNION ALL SELECT '2002-01', s, 'missing', 0, NULL FROM (VALUES ('yellow'), ('green')) t(s)""", "bronze"),
+    "l02_zone_buckets": sql("SELECT *, CAST(4 AS INT) AS buckets FROM dim_zone", "dim_zone"),
+    "l03_service_partitions": sql("SELECT d.*, trips FROM dim_service_type d JOIN (SELECT service_type, COUNT(*) AS trips FROM bronze"
+                                  " GROUP BY 1) b ON d.service_type = b.service_type", "dim_service_type", "bronze"),
+    "l04_payment_partitions": sql("SELECT d.payment_type, COUNT(*) AS trips FROM dim_payment_type d JOIN bronze b"
+                                  " ON d.payment_type_id = b.payment_type GROUP BY 1", "dim_payment_type", "bronze"),
+    "l07_empty_gate": "SELECT o_orderstatus, COUNT(*) AS orders, true AS stops FROM orders GROUP BY 1",
+    "b02_number_columns": f"SELECT {_NUMBERS} FROM ({_PASSENGERS})",
+    "b03b_median_of_keys_and_prices": f"""WITH t AS (SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey + 9007199254740992 END AS key,
+  CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_totalprice AS DECIMAL(12,2)) END AS price FROM orders),
+f AS (SELECT COALESCE(key, {_upper_median("key", "t")}) AS key, COALESCE(price, {_upper_median("price", "t")}) AS price FROM t)
+SELECT key, COUNT(*) AS orders, CAST(SUM(price) AS DOUBLE) AS price FROM f GROUP BY 1""",
+    "b04_clean_passengers": f"""WITH p AS ({_PASSENGERS})
+SELECT COALESCE("Age", {_upper_median('"Age"', "p")}) AS "Age", "Fare", COALESCE("Parch", {_upper_median('"Parch"', "p")}) AS "Parch",
+  "Pclass", "SibSp", "Survived" FROM p""",
+    "d10_require": "SELECT l_returnflag, COUNT(*) AS lines, true AS stops FROM lineitem GROUP BY 1",
+    "g02b_borough_codes": sql(f"""SELECT zone_key, borough, zone_name, service_zone, {BOROUGH_CASE.format(b="borough")} AS borough_code
+FROM (SELECT LocationID AS zone_key, CASE WHEN LocationID = 5 THEN 'EWR' WHEN Borough = 'AFRICA' THEN 'Manhattan'
+  WHEN Borough = 'AMERICA' THEN 'Brooklyn' WHEN Borough = 'ASIA' THEN 'Queens' WHEN Borough = 'EUROPE' THEN 'Bronx'
+  WHEN Borough = 'MIDDLE EAST' THEN 'Staten Island' END AS borough, Zone AS zone_name, service_zone FROM zones)""", "zones"),
+}

@@ -534,3 +534,6 @@ def f16_percentages(spark, folder):
     return orders.groupBy("o_orderpriority").agg(
         fx.percent(F.count_if(F.col("o_orderstatus") == "F"), F.count("*")).alias("finished_percentage"),
         F.count("*").alias("orders"))
+
+
+from . import stored  # noqa: E402,F401 - registers its queries here

@@ -3,113 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-# A column with at most this many distinct values left is finished by counting the values.
-COUNTABLE_VALUES = 1_000_000
-_STEPS = 100
-_CUTS = [step / _STEPS for step in range(_STEPS + 1)]
+from ..session import Staging
 
 
-@dataclass
-class _Search:
-    """The value of ``rank`` (0-based) is in [low, high]; None is an open end."""
+def upper_median(df: DataFrame, name: str, staging: Staging):
+    """sorted(non-null values)[n // 2] of a column, in the column's own type and order.
 
-    low: float | None = None
-    high: float | None = None
-    rank: int | None = None
-    answer: float | None = None
-
-    def between(self, value: Column) -> Column:
-        inside = value.isNotNull()
-        if self.low is not None:
-            inside &= value > self.low
-        if self.high is not None:
-            inside &= value < self.high
-        return inside
-
-    def summary(self, value: Column) -> Column:
-        """Counts around and inside the open interval, and cut points of its values."""
-        inner = F.when(self.between(value), value)
-        zero = F.lit(0).cast("long")
-        return F.struct(
-            (zero if self.low is None else F.count(F.when(value < self.low, 1))).alias("under"),
-            (zero if self.low is None else F.count(F.when(value == self.low, 1))).alias("at_low"),
-            F.count(inner).alias("inner"),
-            (zero if self.high is None else F.count(F.when(value == self.high, 1))).alias("at_high"),
-            F.approx_count_distinct(inner).alias("distinct"),
-            F.percentile_approx(inner, F.array(*[F.lit(cut) for cut in _CUTS]), 10_000).alias("cuts"),
-        )
-
-    def narrow(self, seen) -> bool:
-        """Use one summary; True when few enough values are left to count them."""
-        if self.rank is None:
-            self.rank = seen.inner // 2
-        first = seen.under + seen.at_low
-        if seen.under <= self.rank < first:
-            self.answer = self.low
-        elif first <= self.rank < first + seen.inner:
-            if seen.distinct <= COUNTABLE_VALUES:
-                return True
-            step = int((self.rank - first) / seen.inner * _STEPS)
-            # The sketch is off by at most 1/10000 of the rows, the margin is 1/100; the next summary checks it.
-            self.low = seen.cuts[step - 1] if step >= 1 else self.low
-            self.high = seen.cuts[step + 2] if step + 2 <= _STEPS else self.high
-        elif first + seen.inner <= self.rank < first + seen.inner + seen.at_high:
-            self.answer = self.high
-        else:
-            self.low = self.high = None
-        return False
-
-
-def upper_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """sorted(non-null values)[n // 2] of each column, as double.
-
-    Each pass is one aggregate over all open columns whose result is one row. It narrows a column to the few percent
-    of its rows around the middle, so even very large columns need a handful of passes.
+    Values are counted, the distinct ones range-partitioned and sorted; a total per partition finds the one partition that
+    holds the rank, and a running total inside it finds the value. The path is the same for any number of rows and values.
     """
-    values = df.select([F.col(name).cast("double").alias(name) for name in columns])
-    searches = {name: _Search() for name in columns}
-    countable: set[str] = set()
-    while open_columns := [n for n, s in searches.items() if s.answer is None and n not in countable]:
-        row = values.agg(*[searches[name].summary(F.col(name)).alias(name) for name in open_columns]).first()
-        for name in open_columns:
-            search = searches[name]
-            if search.rank is None and row[name].inner == 0:
-                raise ValueError(f"column {name} has no value to take a median of")
-            if search.narrow(row[name]):
-                countable.add(name)
-    if countable:
-        for name, value in _count_to_rank(values, {name: searches[name] for name in countable}):
-            searches[name].answer = value
-    return {name: search.answer for name, search in searches.items()}
-
-
-def _count_to_rank(values: DataFrame, searches: dict[str, _Search]):
-    """Find the ranks among at most COUNTABLE_VALUES distinct values per column: one result row per column."""
-    names = list(searches)
-    entries = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"), F.col(name).alias("value"),
-                 searches[name].between(F.col(name)).alias("inside"),
-                 (F.lit(False) if searches[name].low is None else F.col(name) <= searches[name].low).alias("before"))
-        for name in names
-    ]))
-    long = values.select(entries.alias("e")).select("e.*")
-    # Values at or below the low end count as one entry in front (NULL sorts first).
-    counted = (
-        long.where(F.col("inside") | F.col("before"))
-        .groupBy("name", F.when(F.col("inside"), F.col("value")).alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
-    running = Window.partitionBy("name").orderBy(F.col("value").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    rank = F.element_at(F.create_map(*[F.lit(x) for name in names for x in (name, searches[name].rank)]),
-                        F.col("name"))
-    upto = F.sum("n").over(running)
-    found = counted.withColumn("upto", upto).where((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank))
-    return [(row["name"], row["value"]) for row in found.select("name", "value").collect()]
+    counted = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n"))
+    ordered = counted.repartitionByRange("value").sortWithinPartitions("value").withColumn("part", F.spark_partition_id())
+    ordered = staging.write(ordered, "values")
+    sizes = ordered.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()  # one row per shuffle partition
+    rank = sum(row["n"] for row in sizes) // 2
+    if not sizes:
+        raise ValueError(f"column {name} has no value to take a median of")
+    before = 0
+    for row in sizes:
+        if before + row["n"] > rank:
+            break
+        before += row["n"]
+    running = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = ordered.where(F.col("part") == row["part"]).withColumn("upto", F.sum("n").over(running) + before)
+    return inside.where((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)).first()["value"]
+
+
+def upper_medians(df: DataFrame, columns: Sequence[str]) -> dict:
+    """The upper median of each column; the input is read once and the staged values are removed."""
+    with Staging(df.sparkSession) as staging:
+        stored = staging.write(df.select(*columns), "input")
+        return {name: upper_median(stored, name, staging) for name in columns}
 
 
 def fill_missing_with_median(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # A DECIMAL(10,2) has fewer than 2 x 10^10 values: at most 2 x 10^5 cells per group, 10^5 values per cell.
 CELL_WIDTH = 100_000
@@ -16,28 +16,33 @@ def _same(left: str, right: str, names: Sequence[str]) -> Column:
     return reduce(and_, [F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}")) for name in names])
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None,
-                 scale: int = 2) -> DataFrame:
+def decimal_scale(df: DataFrame, value: str) -> int:
+    """Digits after the point of a decimal column; other types have no exact cells and are refused."""
+    kind = df.schema[value].dataType
+    if not isinstance(kind, T.DecimalType) or kind.precision > 18:
+        raise TypeError(f"{value} is {kind.simpleString()}: percentiles need a decimal of 18 digits at most")
+    return kind.scale
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
     """Rows per (keys, unscaled value). Combined before the shuffle, so a hot group costs no more than its values."""
+    scale = decimal_scale(df, value)
     amount = F.count("*") if weight is None else F.sum(weight)
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast(f"decimal(18,{scale})").alias("_decimal"))
-        .agg(amount.alias("_n"))
-    )
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_decimal")).agg(amount.alias("_n"))
     unscaled = (F.col("_decimal") * (10 ** scale)).cast("long")
     return counted.select(*keys, unscaled.alias("_value"), "_n").withColumn(
         "_cell", F.floor(F.col("_value") / CELL_WIDTH))
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float],
-                      weight: str | None = None, scale: int = 2) -> DataFrame:
+                      weight: str | None = None) -> DataFrame:
     """PERCENTILE_CONT per group: {output column: fraction}. ``weight`` counts a row that many times.
 
     A group is never gathered: its value counts fall into cells, a running total over the cells finds the cells
     that hold the wanted ranks, and only those cells are ordered by value.
     """
-    counts = value_counts(df, keys, value, weight, scale)
+    scale = decimal_scale(df, value)
+    counts = value_counts(df, keys, value, weight)
     cell_keys = [*keys, "_cell"]
     by_cell = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cells = (

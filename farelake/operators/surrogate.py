@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..session import Staging
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
+ROWS_PER_RANGE = 5_000_000  # rows that one task sorts
 
 
 def add_surrogate_key(df: DataFrame, order_by: Sequence[str], staging: Staging, key: str = "trip_key",
@@ -28,9 +29,11 @@ def add_surrogate_key(df: DataFrame, order_by: Sequence[str], staging: Staging,
     rest = [name for name in source.columns if name not in order_by]
     tie_break = F.xxhash64(*rest) if rest else F.lit(0)
     sort_key = [*order_by, "_tie", "_copy"]
+    spark = df.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-source.count() // ROWS_PER_RANGE))
     placed = (
         source.withColumns({"_tie": tie_break, "_copy": F.monotonically_increasing_id()})
-        .repartitionByRange(*sort_key)
+        .repartitionByRange(ranges, *sort_key)
         .sortWithinPartitions(*sort_key)
         .drop("_tie", "_copy")
         .withColumn("_place", F.monotonically_increasing_id())
@@ -38,7 +41,9 @@ def add_surrogate_key(df: DataFrame, order_by: Sequence[str], staging: Staging,
     staged = staging.write(placed, "key-sorted").withColumn("_part", F.shiftrightunsigned("_place", _ROW_BITS))
     numbered = (F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)) + F.col("_offset") + 1).alias(key)
     # One row per shuffle partition: this bounds both the running total and the broadcast.
-    sizes = staged.groupBy("_part").agg(F.count("*").alias("_rows"))
+    rows = F.count("*")
+    fits = F.when(rows < 1 << _ROW_BITS, rows).otherwise(F.raise_error(F.lit("a range has too many rows for its positions")).cast("long"))
+    sizes = staged.groupBy("_part").agg(fits.alias("_rows"))
     running = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = sizes.select(F.col("_part"), (F.sum("_rows").over(running) - F.col("_rows")).alias("_offset"))
     return staged.join(F.broadcast(offsets), "_part").select(numbered, *df.columns)

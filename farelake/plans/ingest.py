@@ -21,8 +21,13 @@ STATUS_SCHEMA = ("filename string, service_type string, source_month string, sta
 
 
 def replace_month(df: DataFrame, table: str = TRIPS_TABLE) -> None:
-    """Delete + insert of whole (service, month) partitions: loading a month twice leaves one copy."""
-    replace_partitions(df, table, PARTITION_BY)
+    """Delete + insert of whole (service, month) partitions: loading a month twice leaves one copy.
+
+    A service that silver does not know fails the load, since its rows would be left out later.
+    """
+    service = F.when(F.col("service_type").isin(*SERVICES), F.col("service_type")).otherwise(F.raise_error(
+        F.concat(F.lit("unknown service: "), F.coalesce("service_type", F.lit("none")))).cast("string"))
+    replace_partitions(df.withColumn("service_type", service), table, PARTITION_BY)
 
 
 def loaded_months(trips: DataFrame) -> DataFrame:

@@ -6,6 +6,9 @@ groups them once by date, hour and service (``trip_cube``) and derives all three
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import day_name, day_of_week, day_type, exact_mean, percent, ratio, rounded, time_period
@@ -126,7 +129,10 @@ def monthly_from_measures(by_date: DataFrame, medians: DataFrame) -> DataFrame:
     m = roll_up(
         by_date, (F.year("pickup_date").alias("pickup_year"), F.month("pickup_date").alias("pickup_month"), F.col("service_type")),
         MONTHLY_MEASURES, F.count("*").alias("active_days"),
-    ).join(medians, keys)
+    )
+    # Null-safe, so that no filter is pushed into one side only: both uses of the trips stay one scan.
+    named = medians.select(*(F.col(key).alias(f"_{key}") for key in keys), "median_revenue")
+    m = m.join(named, reduce(and_, (m[key].eqNullSafe(named[f"_{key}"]) for key in keys))).drop(*(f"_{key}" for key in keys))
     trips = F.col("trips")
     return m.select(
         F.col("pickup_year").alias("year"),

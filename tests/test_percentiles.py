@@ -5,7 +5,9 @@ from decimal import Decimal
 import numpy as np
 import pytest
 
-from farelake.operators import median, percentiles
+from pyspark.sql import functions as F
+
+from farelake.operators import percentiles
 from farelake.operators.median import fill_missing_with_median, upper_medians
 from farelake.operators.percentiles import exact_percentiles
 
@@ -54,8 +56,7 @@ def test_median_of_nothing_fails(spark):
         fill_missing_with_median(spark.createDataFrame([(None,), (None,)], "x int"))
 
 
-def test_narrowing_finds_the_same_value(spark, monkeypatch):
-    monkeypatch.setattr(median, "COUNTABLE_VALUES", 20)
+def test_many_values_and_heavy_ones(spark):
     rng = random.Random(3)
     columns = {
         "uniform": [rng.random() for _ in range(6_000)],
@@ -68,6 +69,22 @@ def test_narrowing_finds_the_same_value(spark, monkeypatch):
     assert upper_medians(df, list(columns)) == expected
 
 
+def test_median_keeps_the_columns_own_type(spark):
+    wide = 2 ** 53
+    df = spark.createDataFrame([(wide + n, Decimal(n) / 3, str(n)) for n in (1, 3, 5)] + [(None, None, None)],
+                               "a long, b decimal(38,20), c string")
+    assert upper_medians(df, ["a", "b", "c"]) == {"a": wide + 3, "b": Decimal(1).quantize(Decimal(10) ** -20), "c": "3"}
+    assert fill_missing_with_median(df).where(f"a = {wide + 3}").count() == 2
+
+
+def test_percentiles_refuse_other_types(spark):
+    for kind in ("double", "decimal(20,2)", "int"):
+        with pytest.raises(TypeError, match="decimal"):
+            exact_percentiles(spark.createDataFrame([(1,)], "v int").withColumn("v", F.col("v").cast(kind)), [], "v", POINTS)
+    df = spark.createDataFrame([(Decimal(n) / 1000,) for n in (1001, 1002, 1004)], "v decimal(10,3)").withColumn("g", F.lit(1))
+    assert exact_percentiles(df, ["g"], "v", POINTS).first()["p50"] == 1.002
+
+
 def test_fill_keeps_types_and_treats_nan_as_missing(spark):
     df = spark.createDataFrame([(1, 1.5), (None, float("nan")), (3, 2.5), (4, None)], "a int, b double")
     filled = fill_missing_with_median(df)
