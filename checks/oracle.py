@@ -587,6 +587,11 @@ SELECT key, COUNT(*) AS orders, CAST(SUM(price) AS DOUBLE) AS price FROM f GROUP
     "b04_clean_passengers": f"""WITH p AS ({_PASSENGERS})
 SELECT COALESCE("Age", {_upper_median('"Age"', "p")}) AS "Age", "Fare", COALESCE("Parch", {_upper_median('"Parch"', "p")}) AS "Parch",
   "Pclass", "SibSp", "Survived" FROM p""",
+    "d11_column_rules": sql("""SELECT 'pickup_date_key' AS column_name, COUNT(*) FILTER (pickup_datetime IS NULL) AS violations FROM bronze
+UNION ALL SELECT 'service_type', COUNT(*) FILTER (LENGTH(service_type) > 5) FROM bronze
+UNION ALL SELECT 'store_and_fwd_flag', COUNT(*) FILTER (store_and_fwd_flag IS NULL OR LENGTH(store_and_fwd_flag) > 1) FROM bronze
+UNION ALL SELECT 'source_month', COUNT(*) FILTER (LENGTH(source_month) > 10) FROM bronze
+UNION ALL SELECT 'passenger_count', COUNT(*) FILTER (passenger_count IS NULL) FROM bronze""", "bronze"),
     "d10_require": "SELECT l_returnflag, COUNT(*) AS lines, true AS stops FROM lineitem GROUP BY 1",
     "g02b_borough_codes": sql(f"""SELECT zone_key, borough, zone_name, service_zone, {BOROUGH_CASE.format(b="borough")} AS borough_code
 FROM (SELECT LocationID AS zone_key, CASE WHEN LocationID = 5 THEN 'EWR' WHEN Borough = 'AFRICA' THEN 'Manhattan'

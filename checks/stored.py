@@ -11,7 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farelake.operators import quality
-from farelake.plans import dims, ingest, layout, passengers
+from farelake.operators.rules import GOLD_RULES, Rule, violations
+from farelake.plans import dims, fact, ingest, layout, passengers, silver
 from farelake.session import Staging
 from farelake.sinks import tables
 from farelake.sources import star, trips as trip_files, zones as zone_files
@@ -193,6 +194,44 @@ def s23_changes(spark, folder):
     return spark.table(names[2]).join(log, ["year_month", "service_type"], "left")
 
 
+def _stored_fact(spark, folder) -> DataFrame:
+    """The fact in its monthly partitions, written once."""
+    store = Store.of(spark, folder)
+    name = store.table("fct_trips")
+    if not spark.catalog.tableExists(name):
+        base = silver.silver_base(star.bronze_trips(spark, folder))
+        layout.write_fact(fact.fct_trips(base, *DOMAIN).hint("rebalance", "source_month"), name, *DOMAIN)
+    return spark.table(name)
+
+
+@query
+def l01_fact_partitions(spark, folder):
+    """Rows per month partition of the stored fact; a row outside the declared months would have failed the write."""
+    return _stored_fact(spark, folder).groupBy(F.col(layout.FACT_PARTITION).alias("year_month")).agg(F.count("*").alias("trips"))
+
+
+@query
+def l05_pruned_count(spark, folder):
+    """One month of the stored fact: the scan reads one partition."""
+    return layout.pruned_count(_stored_fact(spark, folder), "1997-03-01", "1997-03-31")
+
+
+@query
+def l06_zone_lookup(spark, folder):
+    """One zone of the stored, bucketed dimension."""
+    name = Store.of(spark, folder).table("dim_zone_lookup")
+    return layout.zone_lookup(layout.write_zone(dims.dim_zone(star.zone_lookup(spark, folder)), name), 13)
+
+
+@query
+def d11_column_rules(spark, folder):
+    """Rows that break the rules of the fact, and stricter ones, so that some are broken."""
+    trips = star.bronze_trips(spark, folder).withColumn("pickup_date_key", F.to_date("pickup_datetime"))
+    stricter = {**GOLD_RULES["fct_trips"], "store_and_fwd_flag": Rule(required=True, length=1), "service_type": Rule(length=5),
+                "passenger_count": Rule(required=True)}
+    return violations(trips, stricter)
+
+
 @query
 def l02_zone_buckets(spark, folder):
     """The bucketed zone table, with its declared number of buckets."""

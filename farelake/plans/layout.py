@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import year_month
 from ..operators.quality import QualityError
+from ..operators.rules import GOLD_RULES, enforced
 from ..sinks.tables import replace_table
 from .dims import DATE_END, DATE_START
 
@@ -33,12 +34,13 @@ def with_fact_partition(fact: DataFrame, start: str = DATE_START, end: str = DAT
 def write_fact(fact: DataFrame, table: str = "gold.fct_trips", start: str = DATE_START,
                end: str = DATE_END) -> DataFrame:
     """Monthly range partitions. A keyed fact arrives in pickup order, so a task writes to few months."""
-    return replace_table(with_fact_partition(fact, start, end), table, partition_by=[FACT_PARTITION])
+    rows = with_fact_partition(enforced(fact, GOLD_RULES["fct_trips"]), start, end)
+    return replace_table(rows, table, partition_by=[FACT_PARTITION])
 
 
 def write_zone(dim: DataFrame, table: str = "gold.dim_zone") -> DataFrame:
     """Hash buckets on the zone key."""
-    return replace_table(dim, table, buckets=(ZONE_BUCKETS, "zone_key"))
+    return replace_table(enforced(dim, GOLD_RULES["dim_zone"]), table, buckets=(ZONE_BUCKETS, "zone_key"))
 
 
 def write_list(dim: DataFrame, table: str, column: str, allowed: Sequence[str]) -> DataFrame:
@@ -47,6 +49,7 @@ def write_list(dim: DataFrame, table: str, column: str, allowed: Sequence[str])
     declared = F.coalesce(value.isin(*allowed), F.lit(False))
     message = F.concat(F.lit(f"no partition of {table} for "), F.coalesce(value, F.lit("NULL")))
     checked = dim.withColumn(column, _checked(declared, value, message))
+    checked = enforced(checked, GOLD_RULES.get(table.rpartition(".")[2], {}))
     return replace_table(checked, table, partition_by=[column])
 
 
