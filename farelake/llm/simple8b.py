@@ -22,6 +22,7 @@ reads back as no rows; only doc_id and text are read, so other columns can't cla
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -47,31 +48,31 @@ def pack(ids: np.ndarray) -> bytes:
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
     total = len(ids)
     starts = np.arange(0, total, BLOCK_IDS)
-    limit = np.minimum(np.arange(total) // BLOCK_IDS * BLOCK_IDS + BLOCK_IDS, total)
-    left = limit - np.arange(total)
-    top = int(ids.max()) if total else 0
+    place = np.arange(total, dtype=np.int32)
+    left = np.minimum((place // BLOCK_IDS + 1) * BLOCK_IDS, total).astype(np.int32) - place
     # The first selector, that is the one with most ids, whose width holds all of the next ids of the block.
-    selector = np.full(total, ESCAPE, dtype=np.int64)
-    step = np.ones(total, dtype=np.int64)
-    open_ = np.ones(total, dtype=bool)
-    fits: dict[int, np.ndarray] = {}
+    selector = np.full(total, ESCAPE, dtype=np.int8)
+    step = np.ones(total, dtype=np.int32)
+    widths = sorted({bits for _, bits in SELECTORS})
+    width = np.searchsorted(np.array([1 << bits for bits in widths], dtype=np.uint64), ids, side="right").astype(np.int8)
+    free, runs = np.ones(total, dtype=bool), {}
     for number, (count, bits) in enumerate(SELECTORS):
-        if bits not in fits:
-            if top >> bits == 0:
-                run = left
-            else:
-                wide = np.where(ids >> np.uint64(bits) != 0, np.arange(total), total)
-                run = np.minimum(np.minimum.accumulate(wide[::-1])[::-1] - np.arange(total), left)
-            fits[bits] = run
-        good = open_ & (fits[bits] >= np.minimum(count, left))
-        selector[good], step[good] = number, np.minimum(count, left)[good]
-        open_ &= ~good
+        if bits not in runs:
+            fits = np.flatnonzero(width <= widths.index(bits)).astype(np.int32)
+            breaks = np.append(np.flatnonzero(np.diff(fits) != 1), len(fits) - 1) if len(fits) else np.array([], dtype=np.int64)
+            end = np.repeat(fits[breaks] + 1, np.diff(np.concatenate(([-1], breaks))))
+            runs[bits] = fits, np.minimum(end - fits, left[fits])
+        fits, run = runs[bits]
+        wanted = np.minimum(count, left[fits])
+        good = (run >= wanted) & free[fits]
+        chosen = fits[good]
+        selector[chosen], step[chosen], free[chosen] = number, wanted[good], False
     jumps, at, chain = step.tolist(), 0, []
     while at < total:
         chain.append(at)
         at += jumps[at]
     place = np.array(chain, dtype=np.int64)
-    chosen, taken = selector[place], step[place]
+    chosen, taken = selector[place].astype(np.int64), step[place]
     words = chosen.astype(np.uint64) << np.uint64(60)
     padded = np.concatenate((ids, np.zeros(SELECTORS[0][0], dtype=np.uint64)))
     for number, (count, bits) in enumerate(SELECTORS):
@@ -124,47 +125,76 @@ def unpack(payload: bytes, blocks: Iterable[int] | None = None) -> np.ndarray:
 
 
 class WordEncoder:
-    """The tokenizers library's ids of whole texts, with the ids of frequent words kept.
+    """The tokenizers library's ids of whole texts, with the ids of words kept.
 
     The model drops white space and no token spans it, so the parts of a text between spaces are encoded on their own;
-    ASCII marks behind a word's last letter are too, since the model always splits there.
+    ASCII marks behind a word's last letter are too, since the model always splits there. It lowers the case itself, so
+    ASCII words are looked up in lower case. Words of Latin letters are one unit of the model, whose last token says so:
+    many of them are encoded as one text.
     """
 
     MARKS = ",.;:!?%&$#*"
-    KEPT = 200_000
+    KEPT = 600_000
     # Python takes these for white space, the tokenizer does not.
-    SEPARATORS = "\x1c\x1d\x1e\x1f"
+    SEPARATORS = re.compile("[\x1c-\x1f]")
+    LATIN = re.compile("[a-zA-Z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.kept: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> dict[str, bytes]:
+        latin = [word for word in words if self.LATIN.fullmatch(word)]
+        other = [word for word in words if not self.LATIN.fullmatch(word)]
+        found = dict(zip(other, self._encode(other)))
+        for at in range(0, len(latin), 1000):
+            some = latin[at:at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            raw, last = ids.tobytes(), 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(last) != len(some):
+                raise ValueError("a word of letters is not one unit of this tokenizer")
+            found.update(zip(some, (raw[a:b] for a, b in zip([0, *last[:-1].tolist()], last.tolist()))))
+        return found
+
     def _parted(self, word: str) -> tuple[str, str]:
         body = word.rstrip(self.MARKS)
-        return (body, word[len(body):]) if body and body[-1].isalpha() else (word, "")
+        if not body or not body[-1].isalpha():
+            body = word
+        return (body.lower() if body.isascii() and "<" not in body else body), word[len(body):]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        words = [None if any(c in text for c in self.SEPARATORS) else text.split() for text in texts]
+    def _learn(self, unseen: set[str]) -> dict[str, bytes]:
         kept = self.kept
-        unseen = {word for some in words if some for word in some if word not in kept}
         parted = {word: self._parted(word) for word in unseen}
-        parts = list({part for pair in parted.values() for part in pair if part and part not in kept})
-        fresh = dict(zip(parts, self._encode(parts)))
-        look = lambda part: kept.get(part) or fresh.get(part, b"")
-        fresh.update({word: look(body) + look(tail) for word, (body, tail) in parted.items() if tail})
+        parts = {part for pair in parted.values() for part in pair if part and part not in kept}
+        fresh = self._encode_words(list(parts))
+        fresh[""] = b""
+        look = lambda part: fresh[part] if part in fresh else kept[part]
+        whole = {word: look(body) + look(tail) for word, (body, tail) in parted.items()}
         if len(kept) < self.KEPT:
             kept.update(fresh)
-            known = kept
-        else:
-            known = {**{word: kept[word] for some in words if some for word in some if word in kept}, **fresh}
-        return [self._encode([text])[0] if some is None else b"".join([known[word] for word in some])
-                for text, some in zip(texts, words)]
+            kept.update(whole)
+        return whole
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers."""
+        look = self.kept.get
+        words = [None if self.SEPARATORS.search(text) else text.split() for text in texts]
+        found = [None if some is None else list(map(look, some)) for some in words]
+        missing = [[] if some is None else [at for at, ids in enumerate(some) if ids is None] for some in found]
+        unseen = {words[row][at] for row, places in enumerate(missing) for at in places}
+        fresh = self._learn(unseen) if unseen else {}
+        for row, places in enumerate(missing):
+            for at in places:
+                found[row][at] = fresh[words[row][at]]
+        return [self._encode([text])[0] if some is None else b"".join(some) for text, some in zip(texts, found)]
 
 
 def write_corpus(docs: DataFrame, path: str, encoder: Callable[[], WordEncoder], end_id: int = 1) -> None:
@@ -191,7 +221,7 @@ def write_corpus(docs: DataFrame, path: str, encoder: Callable[[], WordEncoder],
                 names=["part", "segment", "first", "n_ids", "doc_ids", "lengths", "payload"])
 
         owner_type = pa.int64()
-        for batch in slices(batches):
+        for batch in slices(batches, 1024):
             owner_type = batch.column(0).type
             for owner, raw in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist())):
                 ids.append(raw + end)
