@@ -30,13 +30,13 @@ from .common import slices
 from .components import connected_components
 
 THRESHOLD = 0.95
-SHARD = 1000          # nodes per centroid aimed at
+SHARD = 1000          # nodes per shard aimed at
 SHARD_LIMIT = 2048    # nodes that a task holds
 MAX_CENTROIDS = 2048  # bounds the broadcast
 FIT_ROWS = 20_000     # sample for the centroids
 AUDIT_QUERIES = 256
 AUDIT_TARGET = 0.98
-CANDIDATES, DEGREE, ALPHA, BEAM = 64, 24, 1.2, 24
+CANDIDATES, DEGREE, ALPHA, BEAM = 32, 12, 1.2, 12
 OVERLAP = 3
 
 
@@ -217,7 +217,7 @@ def find_links(nodes: DataFrame, staging: Staging, threshold: float = THRESHOLD,
     dice = F.pmod(F.xxhash64("node", F.lit("fit")), F.lit(1_000_000))
     sample = named.where(dice < max(1, int(share * 1_000_000))).select("node", "vector").orderBy("node").collect() or named.select(
         "node", "vector").limit(1).collect()
-    centres = fit_centroids(_unit([row["vector"] for row in sample]), min(MAX_CENTROIDS, max(1, -(-count // SHARD))))
+    centres = fit_centroids(_unit([row["vector"] for row in sample]), min(MAX_CENTROIDS, max(1, -(-count * overlap // SHARD))))
     queries = _audit_pairs(named, count, threshold, staging)
     while True:
         shards = _shards(named, centres, overlap, staging)
