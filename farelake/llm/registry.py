@@ -81,10 +81,10 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(corpus_pipeline.PIECES)
-    encoded = lattice.encode(table(spark, folder, "documents").select("doc_id", "text"), path, Staging(spark))
-    decoded = lattice.decode(encoded, path).withColumn("ids_crc32", lattice.ids_crc32("ids"))
-    return decoded.select("doc_id", F.size("ids").alias("n_tokens"), "ids_crc32",
-                          (F.crc32("decoded") == F.col("text_crc32")).alias("round_trip"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = lattice.encode(docs, path, Staging(spark)).withColumn("text", F.crc32("text"))
+    checked = lattice.digests(encoded, path)
+    return checked.select("doc_id", F.size("ids").alias("n_tokens"), "ids_crc32", (F.col("text") == F.col("decoded_crc32")).alias("round_trip"))
 
 
 LLM_QUERIES = {

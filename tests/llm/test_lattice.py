@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -26,9 +27,11 @@ def library():
 @pytest.mark.parametrize("hot", [lattice.HOT_UNITS, 3, 0])
 def test_ids_equal_the_library(spark, library, hot):
     docs = documents(spark, [(1000 + n, text, None, None, None) for n, text in enumerate(TEXTS)]).withColumns(
-        {"unit": F.lit("own"), "at": F.lit(1), "ids": F.lit(2)})
+        {"unit": F.lit("own"), "n": F.lit(1), "piece": F.lit(2)})
     given = {row["doc_id"]: row["text"] for row in docs.where("doc_id IS NOT NULL").collect()}
-    rows = lattice.decode(lattice.encode(docs, PATH, Staging(spark), hot), PATH).collect()
+    out = lattice.digests(lattice.decode(lattice.encode(docs, PATH, Staging(spark), hot), PATH), PATH)
+    assert out.columns == [*docs.columns, "ids", "decoded", "ids_crc32", "decoded_crc32"]
+    rows = out.collect()
     assert len(rows) == docs.count()
     for row in rows:
         if row["doc_id"] is None:
@@ -39,7 +42,7 @@ def test_ids_equal_the_library(spark, library, hot):
             assert row["ids"] is None and row["decoded"] is None
             continue
         assert row["ids"] == library.encode(text), text[:50]
-        assert row["decoded"] == text.replace("▁", " ") and row["text_crc32"] == zlib.crc32(text.encode())
+        assert row["decoded"] == text.replace("▁", " ") and row["decoded_crc32"] == zlib.crc32(row["decoded"].encode())
 
 
 def test_empty_table(spark):
@@ -68,6 +71,8 @@ def test_best_path_of_a_probability_model(spark):
 
     rows = lattice.encode_units(spark.createDataFrame([(u,) for u in units], "unit string"), model).collect()
     assert {row["unit"]: row["ids"] for row in rows} == {unit: best(unit) for unit in units}
+    encoder = lattice.UnitEncoder(model, {})
+    assert [np.frombuffer(encoder.of_unit(unit), dtype="<i4").tolist() for unit in units] == [best(unit) for unit in units]
 
 
 def test_whole_table(spark, library):
