@@ -44,7 +44,7 @@ from .common import append_columns, slices
 
 SPACE = "▁"
 FOLD_CHARS = 60       # a unit's boundaries are the bits of one long
-HOT_UNITS = 500_000   # units sent to every task, each of at most FOLD_CHARS characters
+HOT_UNITS = 250_000   # units sent to every task, each of at most FOLD_CHARS characters
 NO_PIECE_SCORE = -1e10
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>$")
 
@@ -255,7 +255,7 @@ class UnitSplitter:
 class UnitEncoder:
     """Ids of whole texts: frequent units are looked up, the others are folded here by the same walk."""
 
-    KEPT_PARTS, KEPT_UNITS = 200_000, 50_000  # parts of texts, and rare units, whose ids are kept
+    KEPT_PARTS, KEPT_UNITS = 150_000, 50_000  # parts of texts, and rare units, whose ids are kept
 
     def __init__(self, model: PieceModel, frequent: dict[str, bytes]):
         self.split, self.frequent, self.parts, self.units = UnitSplitter(model.unit_pattern()), frequent, {}, {}
