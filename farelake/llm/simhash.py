@@ -17,6 +17,8 @@ an empty result. Repeated rows give repeated results.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,21 +34,27 @@ BLOCK = 1024  # rows of one anchor that are compared in one step
 _SHINGLES_AT_ONCE = 100_000
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """SimHash of the word shingles, as a signed 64-bit number."""
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """The 64-bit hashes of the word shingles, some at a time; fewer words are one shingle, no words none."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: only A-Z and ASCII spaces count
     if not words:
-        return 0
+        return
     count = max(len(words) - shingle + 1, 1)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     first = np.concatenate(([0], ends[:-1] + 1))[:count].tolist()
     last = ends[min(shingle, len(words)) - 1:].tolist()
     digest = xxhash.xxh64_intdigest
-    ones = np.zeros(64, dtype=np.int64)
     for at in range(0, count, _SHINGLES_AT_ONCE):
-        hashes = np.array([digest(joined[a:b], 42) for a, b in zip(first[at:at + _SHINGLES_AT_ONCE],
-                                                                  last[at:at + _SHINGLES_AT_ONCE])], dtype="<u8")
+        yield np.array([digest(joined[a:b], 42) for a, b in zip(first[at:at + _SHINGLES_AT_ONCE],
+                                                                last[at:at + _SHINGLES_AT_ONCE])], dtype="<u8")
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """SimHash of the word shingles, as a signed 64-bit number."""
+    count, ones = 0, np.zeros(64, dtype=np.int64)
+    for hashes in shingle_hashes(text, shingle):
+        count += len(hashes)
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     bits = np.packbits(2 * ones > count, bitorder="little")
     return int(bits.view("<i8")[0])
