@@ -4,13 +4,15 @@ A document is the sequence of the ids of its lines. Level j of the doubling rank
 level 0 ranks lines, level j + 1 ranks the pairs (rank at a line, rank 2**j lines further). Suffixes that share the rank
 of a level form an LCP interval of that depth. A suffix that is alone in its interval can't repeat further and leaves.
 
-A run of lines repeats if it has ``min_words`` words or more (a line without words counts as one) and occurs at an
-earlier position of the corpus, in the order of (doc_id, line number). Every line of a maximal repeated run is
+A run of lines repeats if it has ``min_words`` words or more and occurs at an earlier position of the corpus, in the order of (doc_id, line number). Every line of a maximal repeated run is
 deleted from the later positions; the first occurrence stays. Which lines belong to such a run follows from the
 shortest runs with enough words: those that start at each line cover the run up to its last words, those that end at
 each line cover the rest. Two runs of n lines are equal if and only if the ranks of their first and of their
-last 2**j <= n lines agree, so each of the two is one grouping. No run that decides has more than ``min_words`` lines,
-and the doubling stops at that depth.
+last 2**j <= n lines agree, so each of the two is one grouping. The doubling stops at the depth of the longest run that
+decides.
+
+A word is a run of characters that are not white space of any kind (tabs and no-break spaces divide words as spaces do).
+A line without words weighs ``wordless`` words: 0 in the queries. With 1, the default, 50 blank lines are a run of 50 words.
 
 Edge cases: a null text stays null and has no lines; an empty text is one empty line; null ids sort first; rows with
 equal id and text are one document and keep equal texts; texts of the same id are ordered by a hash. Line ids are
@@ -25,15 +27,15 @@ from ..session import Staging
 from .common import KEY, keyed
 
 MIN_WORDS = 50
+# White space of Unicode as Python's str.split sees it.
+WORD = r"[^\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per line: document, number, 128-bit line id, words."""
     lines = keyed(docs).where(F.col("text").isNotNull()).select(
         *KEY, F.posexplode(F.split("text", "\n", -1)).alias("line", "content"))
-    # Spaces inside the trimmed line, counted without splitting it; runs of spaces count as several.
-    trimmed = F.trim(F.col("content"))
-    words = F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "))) + 1
+    words = F.regexp_count("content", F.lit(WORD))
     return lines.select(*KEY, "line", F.xxhash64("content").alias("id_high"),
                         F.xxhash64("content", F.lit(1)).alias("id_low"), words.cast("long").alias("words"))
 
@@ -51,7 +53,7 @@ def _ranked(suffixes: DataFrame, keys: list[str], name: str, staging: Staging) -
     return suffixes.join(ranks.hint("merge"), keys).drop(*keys)
 
 
-def repeated_lines(docs: DataFrame, staging: Staging, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame, staging: Staging, min_words: int = MIN_WORDS, wordless: int = 1) -> DataFrame:
     """The lines to delete: (key, line)."""
     lines = _lines(docs)
     level = staging.write(_ranked(lines, ["id_high", "id_low"], "rank0", staging).distinct(), "level0")
@@ -62,17 +64,22 @@ def repeated_lines(docs: DataFrame, staging: Staging, min_words: int = MIN_WORDS
     stretch = F.col("line") - F.row_number().over(by_document)
     runs = level.withColumn("stretch", stretch)
     within = Window.partitionBy(*KEY, "stretch").orderBy("line")
-    weighed = runs.withColumn("upto", F.sum(F.greatest("words", F.lit(1))).over(within)).withColumn(
-        "weight", F.greatest("words", F.lit(1)))
-    # A run holds one line or more, each of one word or more, so min_words following lines are enough to look at.
-    ahead = Window.partitionBy(*KEY, "stretch").orderBy("line").rowsBetween(0, min_words - 1)
-    behind = Window.partitionBy(*KEY, "stretch").orderBy("line").rowsBetween(-(min_words - 1), 0)
-    reach = F.expr(f"array_position(transform(ends, e -> e - upto + weight >= {min_words}), true)")
-    back = F.expr(f"array_position(transform(reverse(starts), s -> upto - s >= {min_words}), true)")
-    windows = weighed.withColumns({"ends": F.collect_list("upto").over(ahead),
-                                   "starts": F.collect_list(F.col("upto") - F.col("weight")).over(behind)})
-    windows = windows.select(*KEY, "line", "rank0", reach.cast("int").alias("reach"), back.cast("int").alias("back"))
-    # 0 means that the stretch ends before there are enough words.
+    weighed = runs.withColumn("weight", F.greatest("words", F.lit(wordless).cast("long"))).withColumn("upto", F.sum("weight").over(within))
+    # A run is shortest where it ends (or starts) with words, and min_words following lines with words are enough to look
+    # at. Lines without words are apart from them in these windows, so that any number of them lies in between.
+    worded = Window.partitionBy(*KEY, "stretch", F.col("weight") > 0).orderBy("line")
+    places = F.struct("line", "upto", (F.col("upto") - F.col("weight")).alias("before"))
+    windows = weighed.withColumns({"ends": F.collect_list(places).over(worded.rowsBetween(0, min_words - 1)),
+                                   "starts": F.collect_list(places).over(worded.rowsBetween(-(min_words - 1), 0))})
+    windows = windows.select(*KEY, "stretch", "line", "rank0", *(F.expr(
+        f"if(weight > 0, get(filter({some}, s -> {enough} >= {min_words}), 0).line, null)").alias(name) for name, some, enough in (
+            ("ahead", "ends", "s.upto - upto + weight"), ("behind", "reverse(starts)", "upto - s.before"))))
+    # From a line without words the run goes as far as from the next line with words, and likewise backwards.
+    ahead = F.last("ahead", ignorenulls=True).over(Window.partitionBy(*KEY, "stretch").orderBy(F.desc("line")).rowsBetween(
+        Window.unboundedPreceding, 0))
+    behind = F.last("behind", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, 0))
+    windows = windows.select(*KEY, "line", "rank0", (ahead - F.col("line") + 1).alias("reach"), (F.col("line") - behind + 1).alias("back"))
+    # Null means that the stretch ends before there are enough words.
     spans = staging.write(windows, "spans")
     starts = spans.where("reach > 0").select(*KEY, F.col("line").alias("first"), F.col("reach").alias("n"))
     ends = spans.where("back > 0").select(*KEY, (F.col("line") - F.col("back") + 1).alias("first"), F.col("back").alias("n"))
@@ -108,12 +115,12 @@ def repeated_lines(docs: DataFrame, staging: Staging, min_words: int = MIN_WORDS
     return later.select(*KEY, F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("line")).distinct()
 
 
-def deduplicate_lines(docs: DataFrame, staging: Staging, min_words: int = MIN_WORDS) -> DataFrame:
+def deduplicate_lines(docs: DataFrame, staging: Staging, min_words: int = MIN_WORDS, wordless: int = 1) -> DataFrame:
     """All rows and columns of ``docs`` with the later copies of repeated runs cut out of ``text``.
 
     Adds ``deleted_lines``, the sorted numbers (from 0) of the lines that were cut.
     """
-    marks = repeated_lines(docs, staging, min_words).groupBy(*KEY).agg(F.array_sort(F.collect_list("line")).alias("_llm_cut"))
+    marks = repeated_lines(docs, staging, min_words, wordless).groupBy(*KEY).agg(F.array_sort(F.collect_list("line")).alias("_llm_cut"))
     marks = staging.write(marks, "marks")
     joined = keyed(docs).join(marks.hint("merge"), KEY, "left").select(
         *docs.columns, F.coalesce("_llm_cut", F.array().cast("array<int>")).alias("deleted_lines"))

@@ -53,7 +53,7 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    found = linededup.deduplicate_lines(docs, Staging(spark))
+    found = linededup.deduplicate_lines(docs, Staging(spark), wordless=0)
     # The cut text's lines and the deleted ones are all lines of the document.
     kept = F.size(F.split("text", "\n", -1))
     return found.select(
