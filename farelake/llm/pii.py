@@ -1,11 +1,15 @@
 """Format-preserving pseudonyms for personal numbers, dates and addresses (keyed Feistel permutations).
 
-Found and validated: card numbers (Luhn), IBANs (mod 97), US social security numbers, phone numbers, IPv4 addresses, dates
+Found and validated: IBANs (mod 97), card numbers (Luhn), US social security numbers, phone numbers, IPv4 addresses, dates
 from 1900 to 2099 and e-mail addresses. A value is read as a number below the size of its format, permuted by a Feistel
 network with the caller's key, and written in its own format: separators, letter case and check digits stay right. The
 permutation depends on the key and the format only, so equal values have equal pseudonyms in all documents and different
 values have different ones. Numbers that fail validation are left as they are.
 
+Of a card or IBAN every admissible length is tried from each start, longest first, and after a start with no valid value
+the scan goes on one character further; so an expiry date, a security code, a currency or a word behind the value does not
+hide it. Days and months have one digit or two; beside a one-digit one they are written without a leading zero again.
+
 Edge cases: a null text stays null with no spans; an empty text stays empty; overlapping candidates go to the first of the
 list above; repeated rows are treated alike; an empty table gives an empty result; all other columns are kept.
 """
@@ -16,7 +20,7 @@ import bisect
 import hashlib
 import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date
 
 import pyarrow as pa
@@ -170,7 +174,10 @@ def _date(text: str, feistel: Feistel) -> str | None:
         parts = [0, 0, 0]
         for place, value in zip(order, (fresh.year, fresh.month, fresh.day)):
             parts[place] = value
-        texts = iter(f"{value:04d}" if place == order[0] else f"{value:02d}" for place, value in enumerate(parts))
+        given = re.findall(r"\d+", text)
+        short = any(len(part) == 1 for part in given)
+        widths = [4 if place == order[0] else 1 if short and given[place][0] != "0" else 2 for place in range(3)]
+        texts = iter(f"{value:0{width}d}" for value, width in zip(parts, widths))
         return re.sub(r"\d+", lambda _: next(texts), text)
     return None
 
@@ -185,18 +192,47 @@ def _email(text: str, feistel: Feistel) -> str | None:
     return "".join(next(fresh) if c.isalnum() else c for c in name) + "." + top
 
 
-_CARD = re.compile(r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)", re.ASCII)
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", re.ASCII)
+_CARD = re.compile(r"(?<!\d)\d(?:[ -]?\d){12,18}", re.ASCII)
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?= ?[A-Z0-9])", re.ASCII)
+_IBAN_OF = {n: re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){%d}%s(?![A-Za-z0-9])" % (n // 4 - 1, f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else ""), re.ASCII)
+            for n in range(34, 14, -1)}
+# Characters of an IBAN by country; for other countries every length is tried.
+_IBAN_LENGTH = {country: length for length, countries in {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "HR CH LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
 _SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", re.ASCII)
 _IPV4 = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)", re.ASCII)
 _PHONE = re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\d)"
                     r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-]*\d)", re.ASCII)
-_DATE = re.compile(r"(?<![\d./-])(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})(?![./-]?\d)", re.ASCII)
+_DATE = re.compile(r"(?<![\d./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![./-]?\d)", re.ASCII)
 _DIGIT = re.compile(r"\d", re.ASCII)
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z", re.ASCII)
 _DOMAIN = re.compile(r"(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])", re.ASCII)
-_FORMATS = (("card", _CARD, _card), ("iban", _IBAN, _iban), ("ssn", _SSN, _ssn), ("phone", _PHONE, _phone), ("ipv4", _IPV4, _ipv4),
-            ("date", _DATE, _date))
+
+
+def _card_ends(text: str, match: re.Match) -> Iterator[int]:
+    places = [at for at in range(*match.span()) if text[at] in "0123456789"]
+    for last in reversed(places[12:]):
+        if text[last + 1:last + 2] not in tuple("0123456789"):
+            yield last + 1
+
+
+def _iban_ends(text: str, match: re.Match) -> Iterator[int]:
+    length = _IBAN_LENGTH.get(match[0][:2])
+    for n in [length] if length else _IBAN_OF:
+        if whole := _IBAN_OF[n].match(text, match.start()):
+            yield whole.end()
+
+
+def _one_end(text: str, match: re.Match) -> Iterator[int]:
+    yield match.end()
+
+
+# IBANs come first: the digits of one may hold a number that passes as a card.
+_FORMATS = (("iban", _IBAN, _iban_ends, _iban), ("card", _CARD, _card_ends, _card), ("ssn", _SSN, _one_end, _ssn),
+            ("phone", _PHONE, _one_end, _phone), ("ipv4", _IPV4, _one_end, _ipv4), ("date", _DATE, _one_end, _date))
 
 
 def pseudonymise(text: str, feistel: Feistel) -> tuple[str, list[tuple[str, int, int]]]:
@@ -216,10 +252,16 @@ def pseudonymise(text: str, feistel: Feistel) -> tuple[str, list[tuple[str, int,
                 bisect.insort(found, (start, domain.end(), "email", _email(text[start:domain.end()], feistel)))
         at = text.find("@", at + 1)
     if _DIGIT.search(text):
-        for kind, pattern, convert in _FORMATS:
-            for match in pattern.finditer(text):
-                if free(*match.span()) and (fresh := convert(match[0], feistel)) is not None:
-                    bisect.insort(found, (*match.span(), kind, fresh))
+        for kind, pattern, ends, convert in _FORMATS:
+            match = pattern.search(text)
+            while match:
+                start, after = match.start(), match.start() + 1
+                for end in ends(text, match):
+                    if free(start, end) and (fresh := convert(text[start:end], feistel)) is not None:
+                        bisect.insort(found, (start, end, kind, fresh))
+                        after = end
+                        break
+                match = pattern.search(text, after)
     if not found:
         return text, []
     parts, last = [], 0
