@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+import sys
+import types
+from collections.abc import Callable, Hashable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -11,6 +13,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 KEY = ["_llm_id", "_llm_key"]
 
 
+def once_per_worker(key: Hashable, make: Callable):
+    """``make()``, kept for the life of the Python worker: a task's functions are copies, with module variables of their own."""
+    held = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker")).__dict__.setdefault("held", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Short slices of Arrow batches: they bound what is held as Python objects at a time."""
     for batch in batches:

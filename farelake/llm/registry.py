@@ -7,12 +7,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import Staging
-from . import decontaminate, langid, lattice, licenses, linededup, neargraph, pii, quality, simhash, simple8b
+from . import alignment, decontaminate, langid, lattice, licenses, linededup, neargraph, pii, quality, simhash, simple8b
 from .common import fold_of
 
 # The key is the caller's secret; the registered query uses a plain one.
 DEMONSTRATION_KEY = b"farelake demonstration key"
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -87,6 +88,12 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return checked.select("doc_id", F.size("ids").alias("n_tokens"), "ids_crc32", (F.col("text") == F.col("decoded_crc32")).alias("round_trip"))
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return alignment.align_corpus(
+        docs, public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(corpus_pipeline.PIECES), Staging(spark))
+
+
 LLM_QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -98,6 +105,7 @@ LLM_QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_pii": op9_pii,
     "op10_sentencepiece": op10_sentencepiece,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 
