@@ -21,7 +21,9 @@ with their numbers, so a run that never ends together on both sides costs its di
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterable, Iterator
+import os
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,41 +49,93 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(byte): byte for byte in plain} | {chr(256 + at): byte for at, byte in enumerate(others)}
 
 
-@dataclass
-class Side:
-    """A tokenizer with the bytes of its ids."""
+class ByteLevelSide:
+    """A byte-level BPE file of the tokenizers library; texts get a space before them.
 
-    encode: Callable[[list[str]], list[list[int]]]
-    pieces: list[bytes]
+    Its pre-tokenizer splits a text into words that are encoded one by one, so the ids of words are kept. Texts with other
+    characters than ``PLAIN`` go to the library whole: there its classes of letters, numbers and spaces decide.
+    """
 
-    def __post_init__(self):
+    KEPT = 400_000  # words kept in a worker
+    LETTERS = "A-Za-zÀ-ÖØ-öø-ſ"
+    PLAIN = re.compile(rf"[\t\n\r -~{LETTERS}]*")
+    WORDS = re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
+    SPACED = re.compile(rf" [{LETTERS}]+")
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        # A task is one thread; the library's own threads would contend with the other tasks.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        alphabet = byte_alphabet()
+        entries = [self.tokenizer.id_to_token(number) or "" for number in range(self.tokenizer.get_vocab_size())]
+        self.pieces = [bytes(alphabet[c] for c in entry) if all(c in alphabet for c in entry) else entry.encode() for entry in entries]
         self.lengths = np.array([len(piece) for piece in self.pieces], dtype=np.int64)
+        self.kept: dict[str, bytes | None] = {}
+
+    def _library(self, texts: list[str]) -> list[bytes | None]:
+        """Ids as 32-bit numbers; None where they don't spell the text."""
+        found = []
+        for text, one in zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = one.ids
+            found.append(np.array(ids, dtype="<i4").tobytes() if b"".join(map(self.pieces.__getitem__, ids)) == text.encode() else None)
+        return found
+
+    def _learn(self, words: list[str]) -> dict[str, bytes | None]:
+        spaced = [word for word in words if self.SPACED.fullmatch(word)]
+        others = [word for word in words if not self.SPACED.fullmatch(word)]
+        fresh = dict(zip(others, self._library(others)))
+        for at in range(0, len(spaced), 1000):
+            some = spaced[at:at + 1000]
+            raw = self._library(["".join(some)])[0]
+            # Words of letters after a space stay apart, so every word ends with a token.
+            token_ends = np.cumsum(self.lengths[np.frombuffer(raw, dtype="<i4")]) if raw is not None else np.zeros(0)
+            word_ends = np.cumsum([len(word.encode()) for word in some])
+            stops = 4 * (np.searchsorted(token_ends, word_ends) + 1)
+            if raw is None or not np.isin(word_ends, token_ends).all():
+                fresh.update(zip(some, self._library(some)))
+            else:
+                fresh.update(zip(some, (raw[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist()))))
+        if len(self.kept) < self.KEPT:
+            self.kept.update(fresh)
+        return fresh
+
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """The ids of each text; None where they don't spell a space and the text."""
+        look = self.kept.get
+        words = [self.WORDS.findall(" " + text) if self.PLAIN.fullmatch(text) else None for text in texts]
+        found = [None if some is None else list(map(look, some)) for some in words]
+        gaps = [[] if some is None else [at for at, ids in enumerate(some) if ids is None] for some in found]
+        unseen = {words[row][at] for row, places in enumerate(gaps) for at in places}
+        fresh = self._learn(list(unseen)) if unseen else {}
+        whole = iter(self._library([" " + text for text, some in zip(texts, words) if some is None]))
+        encoded = []
+        for row, places in enumerate(gaps):
+            for at in places:
+                found[row][at] = fresh[words[row][at]]
+            raw = next(whole) if found[row] is None else None if None in found[row] else b"".join(found[row])
+            encoded.append(None if raw is None else np.frombuffer(raw, dtype="<i4").astype(np.int64))
+        return encoded
+
+
+class PieceSide:
+    """A SentencePiece model, which puts a space before the text itself."""
 
+    def __init__(self, path: str):
+        import sentencepiece
 
-def byte_level_side(path: str) -> Side:
-    """A byte-level BPE file of the tokenizers library; texts get a space before them."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    alphabet = byte_alphabet()
-    entries = [tokenizer.id_to_token(number) or "" for number in range(tokenizer.get_vocab_size())]
-    pieces = [bytes(alphabet[c] for c in entry) if all(c in alphabet for c in entry) else entry.encode() for entry in entries]
-
-    def encode(texts: list[str]) -> list[list[int]]:
-        return [found.ids for found in tokenizer.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)]
-
-    return Side(encode, pieces)
-
-
-def piece_side(path: str) -> Side:
-    """A SentencePiece model, which puts a space before the text itself."""
-    import sentencepiece
+        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.pieces = [bytes([int(model.id_to_piece(n)[3:5], 16)]) if model.is_byte(n) else model.id_to_piece(n).replace("▁", " ").encode()
+                       for n in range(model.get_piece_size())]
+        self.lengths = np.array([len(piece) for piece in self.pieces], dtype=np.int64)
 
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces = [bytes([int(model.id_to_piece(n)[3:5], 16)]) if model.is_byte(n) else model.id_to_piece(n).replace("▁", " ").encode()
-              for n in range(model.get_piece_size())]
-    return Side(lambda texts: model.encode(texts, num_threads=1), pieces)
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """The ids of each text; None where they don't spell a space and the text."""
+        spell = self.pieces.__getitem__
+        return [np.array(ids, dtype=np.int64) if b"".join(map(spell, ids)) == b" " + text.encode() else None
+                for text, ids in zip(texts, self.model.encode(texts, num_threads=1))]
 
 
 def tokens(encoded: list[np.ndarray], lengths: np.ndarray) -> pd.DataFrame:
@@ -178,7 +232,7 @@ def spelled(found: Aligned, docs: int, names: list[bytes], offset: int) -> list[
     return [b"".join(map(spell, codes[stop - size:stop]))[:-1] for stop, size in zip(stops.tolist(), sizes.tolist())]
 
 
-def _names(side: Side, inside: bytes, last: bytes) -> list[bytes]:
+def _names(side: ByteLevelSide | PieceSide, inside: bytes, last: bytes) -> list[bytes]:
     return [str(number).encode() + mark for number in range(len(side.pieces)) for mark in (inside, last)]
 
 
@@ -188,16 +242,15 @@ def _lists(values: np.ndarray, owners: np.ndarray, docs: int, kind: pa.DataType)
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
-def encoded_batch(texts: list[str | None], a: Side, b: Side) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def encoded_batch(texts: list[str | None], a: ByteLevelSide, b: PieceSide) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Ids of both sides; none for texts that one of the sides does not reproduce."""
     full = [at for at, text in enumerate(texts) if text]
     some = [texts[at] for at in full]
     ids_a = [np.zeros(0, dtype=np.int64)] * len(texts)
     ids_b = list(ids_a)
-    for at, text, in_a, in_b in zip(full, some, a.encode(some), b.encode(some)):
-        raw = b" " + text.encode()
-        if b"".join(map(a.pieces.__getitem__, in_a)) == raw and b"".join(map(b.pieces.__getitem__, in_b)) == raw:
-            ids_a[at], ids_b[at] = np.array(in_a, dtype=np.int64), np.array(in_b, dtype=np.int64)
+    for at, in_a, in_b in zip(full, a.encode(some), b.encode(some)):
+        if in_a is not None and in_b is not None:
+            ids_a[at], ids_b[at] = in_a, in_b
     return ids_a, ids_b
 
 
@@ -231,8 +284,8 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, outputs: Iterable
                         *(kinds[name] for name in OUTPUTS if name in wanted)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a = once_per_worker(("byte-level", path_a), lambda: byte_level_side(path_a))
-        b = once_per_worker(("pieces", path_b), lambda: piece_side(path_b))
+        a = once_per_worker(("byte-level", path_a), lambda: ByteLevelSide(path_a))
+        b = once_per_worker(("pieces", path_b), lambda: PieceSide(path_b))
         names = once_per_worker(("names", path_a, path_b), lambda: [*_names(a, b",", b"|"), *_names(b, b",", b";")])
         for batch in _batches(batches):
             ids_a, ids_b = encoded_batch(batch.column("text").to_pylist(), a, b)
@@ -361,6 +414,6 @@ def align_corpus(docs: DataFrame, path_a: str, path_b: str, staging: Staging) ->
     aligned = align_documents(docs, path_a, path_b, ("pairs", "digest"))
     # The numbers are fixed by the stored table.
     aligned = staging.write(aligned.withColumn("row", F.monotonically_increasing_id()), "aligned")
-    found = link_statistics(aligned, len(piece_side(path_b).pieces), staging)
+    found = link_statistics(aligned, len(PieceSide(path_b).pieces), staging)
     return aligned.drop("pair", "times").join(found, "row").select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
@@ -68,6 +69,22 @@ class Plain:
         return rows
 
 
+def test_kept_words_give_the_library_ids():
+    """Any text: words that are kept, words that are not, texts for the library."""
+    tokenizer = Tokenizer.from_file(BYTES)
+    tokenizer.encode_special_tokens = True
+    pick = random.Random(3)
+    signs = [" ", " ", " ", "\n", "\t", "\r", "'", "'s", "'ll", "a", "be", "É", "ß", "ſ", "x", "7", "42", "!", "...", "×", "\x1c", "\x85", "\u00a0", "²", "字"]
+    texts = ["".join(pick.choices(signs, k=pick.randrange(1, 30))) for _ in range(4000)] + TEXTS
+    side = alignment.ByteLevelSide(BYTES)
+    for kept in (1000, 0):
+        side.KEPT = kept
+        for at in range(0, len(texts), 500):
+            some = texts[at:at + 500]
+            wanted = [tokenizer.encode(" " + text, add_special_tokens=False).ids for text in some]
+            assert [ids.tolist() for ids in side.encode(some)] == wanted
+
+
 def compared(rows, texts):
     return Counter(tuple(row[name] for name in RESULT) for row in rows), Counter(Plain().corpus(texts))
 
