@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import Staging
-from . import alignment, decontaminate, langid, lattice, licenses, linededup, neargraph, pii, quality, simhash, simple8b, whitening
+from . import alignment, collisions, decontaminate, langid, lattice, licenses, linededup, neargraph, pii, quality, simhash, simple8b, whitening
 from .common import fold_of
 
 # The key is the caller's secret; the registered query uses a plain one.
@@ -88,6 +88,10 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return checked.select("doc_id", F.size("ids").alias("n_tokens"), "ids_crc32", (F.col("text") == F.col("decoded_crc32")).alias("round_trip"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return collisions.nearest_neighbours(table(spark, folder, "embeddings"), Staging(spark), lambda vec_id: vec_id % 20 == 0)
+
+
 def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     # A deviation that no long holds is null.
     return whitening.whiten(table(spark, folder, "embeddings"), Staging(spark)).withColumn("deviation", F.col("deviation").try_cast("long"))
@@ -110,6 +114,7 @@ LLM_QUERIES = {
     "op8_token_output": op8_token_output,
     "op9_pii": op9_pii,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
