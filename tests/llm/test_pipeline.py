@@ -1,10 +1,9 @@
 import inspect
 
 import corpus_pipeline
-from pyspark.sql import functions as F
-from tables import SCHEMA, documents, none
+from tables import documents, none
 from test_linededup import shortest_runs
-from test_simhash import components_of, reference
+from test_nearcopies import kept
 
 import __spark_entry__ as driver
 from farelake.llm import decontaminate, linededup
@@ -14,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_registered():
     names = [name for name in driver.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11)) and "pipeline" in driver.queries()
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14)) and "pipeline" in driver.queries()
     assert [len(inspect.signature(stage).parameters) for _, stage in corpus_pipeline.STAGES] == [3] * 5
 
 
@@ -46,9 +45,8 @@ def lines(spark, texts):
 
 
 def groups(spark, texts):
-    fingerprints = {i: reference(text) for i, text in texts.items()}
-    smallest = components_of(list(fingerprints.items()))
-    return {i: text for i, text in texts.items() if smallest[fingerprints[i]] == i}
+    first = kept(texts)
+    return {i: text for i, text in texts.items() if i in first}
 
 
 def leaks(spark, texts):
