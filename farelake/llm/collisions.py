@@ -209,10 +209,12 @@ def points_of(vectors: DataFrame, wanted: int, staging: Staging) -> tuple[DataFr
     place = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("vec_id"))
     few = rows.withColumn("_place", place).where(F.col("_place") <= wanted).drop("_place")
     points = few.groupBy("k1", "k2").agg(F.first("vector").alias("vector"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    largest = F.array_max(F.transform("vector", F.abs)).cast("double")
-    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / largest) * (x / largest))
-    band = F.floor(4 * (F.log2(largest) + F.log2(squares) / 2) + 0.5).cast("int")
-    return rows, staging.write(points.withColumn("band", band), "points")
+    largest = F.greatest(F.array_max("vector"), -F.array_min("vector")).cast("double")
+    # Squares of entries in the range of 1 keep small and large vectors in the range of doubles.
+    points = staging.write(points.withColumn("largest", largest), "measured")
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / F.col("largest")) * (x / F.col("largest")))
+    band = F.floor(4 * (F.log2("largest") + F.log2(squares) / 2) + 0.5).cast("int")
+    return rows, staging.write(points.withColumn("band", band).drop("largest"), "points")
 
 
 def _sharded(points: DataFrame) -> tuple[DataFrame, int]:
