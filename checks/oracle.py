@@ -573,6 +573,11 @@ FROM (VALUES ('yellow'), ('green')) t(s)""", "bronze"),
     "s21_materialize": "SELECT l_suppkey, COUNT(*) AS lines FROM lineitem GROUP BY 1",
     "s23_changes": sql(f"""SELECT source_month AS year_month, service_type, 'loaded' AS status, n AS row_count, CAST(1 AS BIGINT) AS logged
 FROM ({_FILES}) UNION ALL SELECT '2002-01', s, 'missing', 0, NULL FROM (VALUES ('yellow'), ('green')) t(s)""", "bronze"),
+    "s23b_stream_of_changes": sql(f"""SELECT m AS year_month, service_type, 'loaded' AS status, n AS row_count,
+  CASE WHEN service_type = 'green' AND m = '1997-01' THEN 'failed' ELSE 'loaded' END AS first_status,
+  CASE WHEN service_type = 'green' AND m = '1997-01' THEN 0 WHEN service_type = 'yellow' AND m = '1999-01' THEN ones ELSE n END AS first_rows, revenue
+FROM (SELECT service_type, {_FILE_MONTH} AS m, COUNT(*) AS n, COUNT(*) FILTER (passenger_count = 1) AS ones,
+  {dbl("SUM(CAST(total_amount AS DECIMAL(14,2)))")} AS revenue FROM bronze GROUP BY 1, 2)""", "bronze"),
     "l02_zone_buckets": sql("SELECT *, CAST(4 AS INT) AS buckets FROM dim_zone", "dim_zone"),
     "l03_service_partitions": sql("SELECT d.*, trips FROM dim_service_type d JOIN (SELECT service_type, COUNT(*) AS trips FROM bronze"
                                   " GROUP BY 1) b ON d.service_type = b.service_type", "dim_service_type", "bronze"),

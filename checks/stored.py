@@ -17,7 +17,7 @@ from farelake.session import Staging
 from farelake.sinks import tables
 from farelake.sources import star, trips as trip_files, zones as zone_files
 from farelake.sources.passengers import scan_passengers
-from farelake.streaming.monthly import ingest_changes
+from farelake.streaming.monthly import ingest_changes, ingest_stream
 
 from .queries import DOMAIN, query
 
@@ -194,6 +194,40 @@ def s23_changes(spark, folder):
     return spark.table(names[2]).join(log, ["year_month", "service_type"], "left")
 
 
+@query
+def s23b_stream_of_changes(spark, folder):
+    """Coverage and revenue after two runs of the stream: between them, one file is published again and one is repaired."""
+    store = Store.of(spark, folder)
+    root = f"{store.staging.path}/arriving-{uuid.uuid4().hex[:8]}"
+    layer = uuid.uuid4().hex[:8]
+    names = [store.table(f"{name}_{layer}") for name in ("trips", "log", "coverage")]
+    changed, damaged = ("yellow", 1999), ("green", 1997)
+
+    def publish(service: str, year: int, some: DataFrame) -> None:
+        some.write.mode("overwrite").parquet(f"{root}/{service}_tripdata_{year}-01.parquet")
+
+    for service in SERVICES:
+        for year in YEARS:
+            raw = spark.read.parquet(f"{store.months()}/{service}_tripdata_{year}-01.parquet")
+            if (service, year) == damaged:
+                raw.select(F.lit("no trips")).limit(1).write.text(f"{root}/{service}_tripdata_{year}-01.parquet")
+            else:
+                publish(service, year, raw.where("passenger_count = 1") if (service, year) == changed else raw)
+
+    def run() -> None:
+        query = ingest_stream(spark, root, f"{root}/_checkpoint", *names, trigger=None, **CALENDAR)
+        query.awaitTermination()
+
+    run()
+    seen = spark.table(names[2]).select("year_month", "service_type", F.col("status").alias("first_status"), F.col("row_count").alias("first_rows"))
+    seen = store.staging.write(seen, "first-coverage")
+    for service, year in (changed, damaged):
+        publish(service, year, spark.read.parquet(f"{store.months()}/{service}_tripdata_{year}-01.parquet"))
+    run()
+    revenue = _totals(spark.table(names[0]), "service_type", "source_month").withColumnRenamed("source_month", "year_month").drop("trips")
+    return spark.table(names[2]).join(seen, ["year_month", "service_type"]).join(revenue, ["year_month", "service_type"])
+
+
 def _stored_fact(spark, folder) -> DataFrame:
     """The fact in its monthly partitions, written once."""
     store = Store.of(spark, folder)

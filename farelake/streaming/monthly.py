@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.normalize import FILE_PATTERN
@@ -12,8 +12,7 @@ from ..plans.ingest import COVERAGE_TABLE, PARTITION_BY, STATUS_SCHEMA, TRIPS_TA
 from ..schemas import SERVICES
 from ..sinks.tables import append_bronze, ensure_layer
 from ..sources.trips import MONTHS, YEARS, list_files, month_grid
-
-LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+from .listing import FORMAT, FileChanges
 
 
 def pending_files(files: DataFrame, log: DataFrame) -> DataFrame:
@@ -49,17 +48,17 @@ def ingest_changes(spark: SparkSession, root: str, table: str = TRIPS_TABLE, log
 
 
 def ingest_stream(spark: SparkSession, root: str, checkpoint: str, table: str = TRIPS_TABLE, log_table: str = "bronze.ingest_log",
-                  coverage_table: str = COVERAGE_TABLE, trigger: str = "1 minute", **calendar) -> StreamingQuery:
-    """Runs ``ingest_changes`` whenever files with new names arrive. Only names travel through the stream."""
-    arrived = (
-        spark.readStream.format("binaryFile").schema(LISTING_SCHEMA).option("recursiveFileLookup", "true").load(root)
-        .select("path").where(F.col("path").rlike(FILE_PATTERN))
-    )
+                  coverage_table: str = COVERAGE_TABLE, trigger: str | None = "1 minute", **calendar) -> StreamingQuery:
+    """Runs ``ingest_changes`` whenever files are new, have changed or have gone; failed files are tried again in every run.
+
+    Without a trigger the stream does what there is to do since its last run and ends: the form for a weekly schedule.
+    """
+    spark.dataSource.register(FileChanges)
+    changes = spark.readStream.format(FORMAT).option("pattern", FILE_PATTERN).load(root)
 
     def run(_names: DataFrame, _batch_id: int) -> None:
         # The caller's session writes the tables, so that its cached file listings stay current.
         ingest_changes(spark, root, table, log_table, coverage_table, **calendar)
 
-    return (
-        arrived.writeStream.option("checkpointLocation", checkpoint).trigger(processingTime=trigger).foreachBatch(run).start()
-    )
+    writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
+    return (writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)).start()
