@@ -583,6 +583,15 @@ FROM (SELECT service_type, {_FILE_MONTH} AS m, COUNT(*) AS n, COUNT(*) FILTER (p
                                   " GROUP BY 1) b ON d.service_type = b.service_type", "dim_service_type", "bronze"),
     "l04_payment_partitions": sql("SELECT d.payment_type, COUNT(*) AS trips FROM dim_payment_type d JOIN bronze b"
                                   " ON d.payment_type_id = b.payment_type GROUP BY 1", "dim_payment_type", "bronze"),
+    "l08_build": sql("""SELECT *, true AS stopped FROM (
+  SELECT 'dim_date' AS table_name, date_diff('day', DATE '1995-01-01', DATE '2002-01-01') AS rows
+  UNION ALL SELECT 'dim_zone', COUNT(*) FROM dim_zone UNION ALL SELECT 'dim_service_type', 2 UNION ALL SELECT 'dim_payment_type', 6
+  UNION ALL SELECT 'dim_vendor', 3 UNION ALL SELECT 'dim_rate_code', 6 UNION ALL SELECT 'fct_trips', COUNT(*) FROM fact
+  UNION ALL SELECT 'gold_daily_revenue', COUNT(*) FROM daily UNION ALL SELECT 'gold_hourly_patterns', COUNT(*) FROM hourly
+  UNION ALL SELECT 'gold_monthly_summary', COUNT(DISTINCT service_type || strftime(pickup_datetime, '%Y-%m')) FROM silver
+  UNION ALL SELECT 'gold_zone_analytics', COUNT(*) FROM zones WHERE Borough IS NOT NULL AND (
+    LocationID IN (SELECT pu_location_id FROM silver) OR LocationID IN (SELECT do_location_id FROM silver)))""",
+                     "dim_zone", "fact", "daily", "hourly", "silver", "zones"),
     "l07_empty_gate": "SELECT o_orderstatus, COUNT(*) AS orders, true AS stops FROM orders GROUP BY 1",
     "b02_number_columns": f"SELECT {_NUMBERS} FROM ({_PASSENGERS})",
     "b03b_median_of_keys_and_prices": f"""WITH t AS (SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey + 9007199254740992 END AS key,

@@ -7,14 +7,16 @@ CSV, and into tables of a layer of their own; everything lies in the staging fol
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from farelake.operators import quality
+from farelake.operators import clean, quality
 from farelake.operators.rules import GOLD_RULES, Rule, violations
-from farelake.plans import dims, fact, ingest, layout, passengers, silver
+from farelake.plans import build, dims, fact, ingest, layout, passengers, silver
 from farelake.session import Staging
 from farelake.sinks import tables
+from farelake.sinks.releases import published
 from farelake.sources import star, trips as trip_files, zones as zone_files
 from farelake.sources.passengers import scan_passengers
 from farelake.streaming.monthly import ingest_changes, ingest_stream
@@ -305,6 +307,25 @@ def l07_empty_gate(spark, folder):
     return layout.assert_not_empty(orders).groupBy("o_orderstatus").agg(F.count("*").alias("orders"), F.lit(stops).alias("stops"))
 
 
+@query
+def l08_build(spark, folder):
+    """Rows of every published gold table after a whole build, and a second one that a test stops: its bronze has a trip to no zone."""
+    store = Store.of(spark, folder)
+    trips, zones, gold = store.table("build_trips"), store.table("build_zones"), f"{store.layer}_gold"
+    ingest.replace_month(star.bronze_trips(spark, folder).hint("rebalance", "service_type", "source_month"), trips)
+    tables.replace_table(star.zone_lookup(spark, folder), zones)
+    build.build_all(spark, build.BuildConfig(trips, zones, gold, *DOMAIN))
+    lost = clean.clean_trips(star.bronze_trips(spark, folder, *DOMAIN)).limit(1)
+    ingest.replace_month(lost.withColumns({"do_location_id": F.lit(-1), "source_month": F.lit("1994-12")}), trips)
+    try:
+        build.build_all(spark, build.BuildConfig(trips, zones, gold, *DOMAIN))
+        stopped = False
+    except quality.QualityError:
+        stopped = True
+    counts = [df.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows")) for name, df in published(spark, gold).items()]
+    return reduce(DataFrame.unionAll, counts).withColumn("stopped", F.lit(stopped))
+
+
 @query
 def b02_number_columns(spark, folder):
     return passengers.select_number_columns(scan_passengers(spark, Store.of(spark, folder).passengers()))

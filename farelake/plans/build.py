@@ -1,10 +1,13 @@
-"""The ordered build: bronze tables in, silver views, gold tables, tests; stops at the first failure."""
+"""The ordered build: bronze tables in, silver views, gold tables, tests; stops at the first failure.
+
+The gold tables of a build are one release: they are published together, after all tests have passed.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 from pyspark import inheritable_thread_target
@@ -13,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.quality import QualityError, require_rows, unique
 from ..schemas import SERVICES
 from ..session import Staging
-from ..sinks.tables import ensure_layer, register_view, replace_table
+from ..sinks.releases import new_release
+from ..sinks.tables import register_view, replace_table
 from . import dims, marts
 from .fact import fct_trips, keyed_fact
 from .layout import assert_not_empty, write_fact, write_list, write_zone
@@ -94,14 +98,18 @@ def build_marts(spark: SparkSession, config: BuildConfig = BuildConfig()) -> dic
 
 
 def build_all(spark: SparkSession, config: BuildConfig = BuildConfig()) -> dict[str, DataFrame]:
-    """silver -> dimensions -> fact -> marts -> tests. The first failing step raises and ends the build."""
+    """silver -> dimensions -> fact -> marts -> tests -> publish.
+
+    The first failing step or test raises and ends the build; the gold layer then stays as it was.
+    """
     zones = require_rows(spark.table(config.zones_table), config.zones_table)
     if not unique(zones, "LocationID").limit(1).isEmpty():
         raise QualityError(f"{config.zones_table} repeats a LocationID")
-    ensure_layer(spark, config.gold)
     tables = build_silver(spark, config)
     tables["taxi_zone_lookup"] = zones
-    for step in (build_dims, build_fact, build_marts):
-        tables |= step(spark, config)
-    tables["test_results"] = run_suite(tables)
+    with new_release(spark, config.gold) as release:
+        unpublished = replace(config, gold=release)
+        for step in (build_dims, build_fact, build_marts):
+            tables |= step(spark, unpublished)
+        tables["test_results"] = run_suite(tables)
     return tables

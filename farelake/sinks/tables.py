@@ -56,6 +56,12 @@ def _drop_version(spark: SparkSession, table: str, stem: str) -> None:
             delete_path(spark, path)
 
 
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Drop a table with the files of all versions that ``replace_table`` wrote."""
+    for name in (table, *_names(table)):
+        _drop_version(spark, name, table.rpartition(".")[2])
+
+
 def recover_table(spark: SparkSession, table: str) -> None:
     """Undo a replacement that was interrupted, before anything is dropped.
 

@@ -5,6 +5,7 @@ from conftest import final_plan
 from farelake.operators.quality import QualityError
 from farelake.plans import build, ingest, layout, marts, suite
 from farelake.plans.silver import silver_base
+from farelake.sinks.releases import new_release, published
 from farelake.sinks.tables import ensure_layer, replace_table
 from farelake.sources import star
 
@@ -162,8 +163,69 @@ def test_three_kinds_of_tip_percentage(bronze):
     assert (monthly["active_days"], daily["trips_with_tips"]) == (1, 3)
 
 
+def rows_of(spark, layer):
+    """Rows of every table of the release, and of every name."""
+    found = {name: df.count() for name, df in published(spark, layer).items()}
+    return found, {name: spark.table(f"{layer}.{name}").count() for name in found}
+
+
+def releases_of(spark, layer):
+    return {row["namespace"] for row in spark.sql(f"SHOW DATABASES LIKE '{layer}__r*'").collect()}
+
+
+def test_a_failing_test_publishes_nothing(spark, built):
+    before, releases = rows_of(spark, "g_build"), releases_of(spark, "g_build")
+    trips = spark.table(CONFIG.trips_table)
+    ensure_layer(spark, "b_bad")
+    ingest.replace_month(trips.limit(900).unionByName(trips.limit(1).withColumn("pu_location_id", F.lit(999))), "b_bad.trips")
+    with pytest.raises(QualityError, match="relationships_fct_trips_pu_zone_key"):
+        build.build_all(spark, build.BuildConfig("b_bad.trips", CONFIG.zones_table, "g_build", CONFIG.start, CONFIG.end))
+    assert rows_of(spark, "g_build") == before and before[0] == before[1] and len(before[0]) == 11
+    assert releases_of(spark, "g_build") == releases
+
+
+def test_an_interrupted_build_is_removed_and_names_are_set_again(spark, monkeypatch):
+    def publish(rows):
+        with new_release(spark, "g_rel") as release:
+            for name in ("a", "b"):
+                replace_table(spark.range(rows), f"{release}.{name}")
+
+    ensure_layer(spark, "g_rel")
+    replace_table(spark.range(9), "g_rel.a")  # a plain table from before
+    publish(1)
+    assert rows_of(spark, "g_rel") == ({"a": 1, "b": 1},) * 2
+    reader = published(spark, "g_rel")
+    real = type(spark).sql
+
+    def stopping(self, text, *args, **kwargs):
+        if stop in text:
+            raise KeyboardInterrupt
+        return real(self, text, *args, **kwargs)
+
+    # Before the switch nothing has changed; after it readers of the release see all of it, whatever the names show.
+    for stop, rows in (("SET DBPROPERTIES", 1), ("OR REPLACE VIEW g_rel.b AS SELECT * FROM", 2)):
+        monkeypatch.setattr(type(spark), "sql", real)
+        if rows == 2:
+            count = 0
+
+            def stopping(self, text, *args, **kwargs):  # noqa: F811 - the second view of the new release
+                nonlocal count
+                count += stop in text
+                if count == 2:
+                    raise KeyboardInterrupt
+                return real(self, text, *args, **kwargs)
+        monkeypatch.setattr(type(spark), "sql", stopping)
+        with pytest.raises(KeyboardInterrupt):
+            publish(2)
+        monkeypatch.undo()
+        assert {name: df.count() for name, df in published(spark, "g_rel").items()} == {"a": rows, "b": rows}
+        assert {df.count() for df in reader.values()} == {1}  # a running reader keeps its release
+    publish(3)
+    assert rows_of(spark, "g_rel") == ({"a": 3, "b": 3},) * 2
+    assert len(releases_of(spark, "g_rel")) == 2  # the current one and the one before
+
+
 def test_rebuild_gives_the_same_tables(spark, built):
-    # Last in this module: a rebuild removes the files that ``built`` reads.
     before = {n: spark.table(f"g_build.{n}").count() for n in ("fct_trips", "dim_zone", "gold_zone_analytics")}
     build.build_all(spark, CONFIG)
     assert before == {n: spark.table(f"g_build.{n}").count() for n in before}
