@@ -139,6 +139,10 @@ LEFT JOIN (SELECT service_type, source_month, COUNT(*) AS n FROM bronze WHERE so
            GROUP BY 1, 2) l ON g.source_month = l.source_month AND g.service_type = l.service_type
 LEFT JOIN (SELECT DISTINCT service_type, source_month FROM bronze) f
   ON g.source_month = f.source_month AND g.service_type = f.service_type""",
+    "trip_ends": """
+SELECT LocationID AS location_id, Borough AS borough, Zone AS zone_name, begins, pickup_year, pickup_month, service_type, total_amount
+FROM (SELECT *, pu_location_id AS place, true AS begins FROM silver UNION ALL SELECT *, do_location_id, false FROM silver)
+JOIN zones ON place = LocationID WHERE Borough IS NOT NULL""",
     "daily": f"""
 SELECT pickup_date, pickup_year, pickup_month, pickup_day_of_week, {day_name("pickup_day_of_week")} AS day_name,
   service_type, COUNT(*) AS total_trips, CAST(SUM(passenger_count) AS BIGINT) AS total_passengers,
@@ -164,6 +168,7 @@ FROM silver GROUP BY pickup_year, pickup_month, pickup_hour, pickup_day_of_week,
 NEEDS = {
     "clean": ["bronze"], "silver": ["clean", "zones"], "fact": ["silver"], "year_fact": ["fact"],
     "dim_zone": ["zones"], "covered": ["grid", "bronze"], "daily": ["silver"], "hourly": ["silver"],
+    "trip_ends": ["silver"],
 }
 
 
@@ -388,24 +393,14 @@ LEFT JOIN (SELECT pickup_date_key, COUNT(*) AS n FROM fact GROUP BY 1) ON date_k
   {r2("COUNT(CASE WHEN payment_type = 1 THEN 1 END) * 100.0::DOUBLE / COUNT(*)")} AS credit_card_percentage,
   {r2("CAST(SUM(tip_amount) AS DOUBLE) * 100.0::DOUBLE / NULLIF(CAST(SUM(fare_amount) AS DOUBLE), 0)")} AS avg_tip_rate
 FROM silver GROUP BY pickup_year, pickup_month, service_type""", "silver"),
-    "g12_zone_analytics": sql(f"""SELECT COALESCE(p.location_id, q.location_id) AS location_id,
-  COALESCE(p.borough, q.borough) AS borough, COALESCE(p.zone_name, q.zone_name) AS zone_name,
-  COALESCE(p.pickup_year, q.pickup_year) AS year, COALESCE(p.pickup_month, q.pickup_month) AS month,
-  COALESCE(p.service_type, q.service_type) AS service_type, COALESCE(p.n, 0) AS total_pickups,
-  COALESCE(q.n, 0) AS total_dropoffs, COALESCE(p.n, 0) + COALESCE(q.n, 0) AS total_trips,
-  {dbl("COALESCE(p.revenue, 0)")} AS pickup_revenue, {dbl("COALESCE(q.revenue, 0)")} AS dropoff_revenue,
-  {r2("COALESCE(CAST(p.revenue AS DOUBLE) / p.n, 0)")} AS avg_fare,
-  CASE WHEN COALESCE(p.n, 0) > COALESCE(q.n, 0) THEN 'Net Origin'
-       WHEN COALESCE(p.n, 0) < COALESCE(q.n, 0) THEN 'Net Destination' ELSE 'Balanced' END AS zone_flow_type,
-  COALESCE(p.n, 0) - COALESCE(q.n, 0) AS net_flow
-FROM (SELECT pu_location_id AS location_id, pu_borough AS borough, pu_zone_name AS zone_name, pickup_year, pickup_month,
-        service_type, COUNT(*) AS n, SUM(total_amount) AS revenue
-      FROM silver WHERE pu_borough IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6) p
-FULL OUTER JOIN (SELECT do_location_id AS location_id, do_borough AS borough, do_zone_name AS zone_name, pickup_year,
-        pickup_month, service_type, COUNT(*) AS n, SUM(total_amount) AS revenue
-      FROM silver WHERE do_borough IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6) q
-  ON p.location_id = q.location_id AND p.pickup_year = q.pickup_year AND p.pickup_month = q.pickup_month
-  AND p.service_type = q.service_type""", "silver"),
+    "g12_zone_analytics": sql(f"""SELECT location_id, borough, zone_name, pickup_year AS year, pickup_month AS month, service_type,
+  COUNT(*) FILTER (begins) AS total_pickups, COUNT(*) FILTER (NOT begins) AS total_dropoffs, COUNT(*) AS total_trips,
+  {dbl("COALESCE(SUM(total_amount) FILTER (begins), 0)")} AS pickup_revenue,
+  {dbl("COALESCE(SUM(total_amount) FILTER (NOT begins), 0)")} AS dropoff_revenue,
+  {r2("COALESCE(CAST(SUM(total_amount) FILTER (begins) AS DOUBLE) / COUNT(*) FILTER (begins), 0)")} AS avg_fare,
+  CASE sign(SUM(CASE WHEN begins THEN 1 ELSE -1 END)) WHEN 1 THEN 'Net Origin' WHEN -1 THEN 'Net Destination' ELSE 'Balanced' END
+    AS zone_flow_type, CAST(SUM(CASE WHEN begins THEN 1 ELSE -1 END) AS BIGINT) AS net_flow
+FROM trip_ends GROUP BY ALL""", "trip_ends"),
     "g13_processed_at": sql("SELECT service_type, COUNT(*) AS stamped, CAST(1 AS BIGINT) AS stamps FROM daily GROUP BY 1",
                             "daily"),
     "q00_fact_bounds": sql(f"""SELECT COUNT(*) AS rows, {text("MIN(pickup_date_key)")} AS min_date,
@@ -589,9 +584,8 @@ FROM (SELECT service_type, {_FILE_MONTH} AS m, COUNT(*) AS n, COUNT(*) FILTER (p
   UNION ALL SELECT 'dim_vendor', 3 UNION ALL SELECT 'dim_rate_code', 6 UNION ALL SELECT 'fct_trips', COUNT(*) FROM fact
   UNION ALL SELECT 'gold_daily_revenue', COUNT(*) FROM daily UNION ALL SELECT 'gold_hourly_patterns', COUNT(*) FROM hourly
   UNION ALL SELECT 'gold_monthly_summary', COUNT(DISTINCT service_type || strftime(pickup_datetime, '%Y-%m')) FROM silver
-  UNION ALL SELECT 'gold_zone_analytics', COUNT(*) FROM zones WHERE Borough IS NOT NULL AND (
-    LocationID IN (SELECT pu_location_id FROM silver) OR LocationID IN (SELECT do_location_id FROM silver)))""",
-                     "dim_zone", "fact", "daily", "hourly", "silver", "zones"),
+  UNION ALL SELECT 'gold_zone_analytics', COUNT(DISTINCT (location_id, pickup_year, pickup_month, service_type)) FROM trip_ends)""",
+                     "dim_zone", "fact", "daily", "hourly", "silver", "trip_ends"),
     "l07_empty_gate": "SELECT o_orderstatus, COUNT(*) AS orders, true AS stops FROM orders GROUP BY 1",
     "b02_number_columns": f"SELECT {_NUMBERS} FROM ({_PASSENGERS})",
     "b03b_median_of_keys_and_prices": f"""WITH t AS (SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey + 9007199254740992 END AS key,
