@@ -1,9 +1,10 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import final_plan
-from farelake.operators.surrogate import add_surrogate_key
+from farelake.operators.surrogate import add_surrogate_key, placed
 from farelake.session import Staging
 
 ORDER = ["t", "service"]
@@ -33,20 +34,44 @@ def test_key_is_contiguous_ordered_and_complete(spark):
 
 
 def test_hot_values_and_copies_are_spread(spark):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        with Staging(spark) as staging:
-            keyed = add_surrogate_key(hot_table(spark), ORDER, staging, replayable=True)
-            plan_text = final_plan(keyed)
-            sizes = [r["count"] for r in spark.read.parquet(staging.path + "/*").groupBy(
-                F.shiftrightunsigned("_place", 33)).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(sizes) == 8 and max(sizes) < 2 * 60_000 / 8
-    # The only single-task exchange is over the partition counts, above their aggregate.
-    assert plan_text.count("SinglePartition") == 1
-    below = plan_text.split("SinglePartition")[1].splitlines()
-    assert any("HashAggregate" in line for line in below[:3])
+    with Staging(spark) as staging:
+        sizes = [r["count"] for r in placed(hot_table(spark), ORDER, staging).groupBy("_range").count().collect()]
+        plan_text = final_plan(add_surrogate_key(hot_table(spark), ORDER, staging, replayable=True))
+    even = 60_000 / (8 * 3)
+    assert sum(sizes) == 60_000 and len(sizes) > 16 and max(sizes) < 3 * even
+    # The rows are shuffled once, by range; the counts' plan is read from its table.
+    assert plan_text.count("Exchange hashpartitioning") == 1 and "SinglePartition" not in plan_text and "rangepartitioning" not in plan_text
+
+
+@pytest.mark.parametrize("span", [1, 40])
+def test_hours_of_pickup_times(spark, span):
+    """Quiet hours share ranges, crowded ones are cut; missing times come first."""
+    seconds = F.when(F.col("id") % 5 == 0, F.col("id") * 977 % (span * 3600)).otherwise(F.col("id") % 7)
+    df = spark.range(0, 20_000, 1, 5).select(
+        F.when(F.col("id") % 1000 != 0, F.timestamp_seconds(1_700_000_000 + seconds).cast("timestamp_ntz")).alias("t"),
+        F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("service"), "id")
+    with Staging(spark) as staging:
+        rows = add_surrogate_key(df, ORDER, staging, replayable=True).orderBy("trip_key").collect()
+        sizes = [r["count"] for r in placed(df, ORDER, staging).groupBy("_range").count().collect()]
+    assert [r["trip_key"] for r in rows] == list(range(1, 20_001)) and {r["id"] for r in rows} == set(range(20_000))
+    order = [(r["t"] is not None, str(r["t"]), r["service"]) for r in rows]
+    assert order == sorted(order, key=lambda one: (one[0], one[1] if one[0] else "", one[2])) and max(sizes) < 3 * 20_000 / 24
+
+
+def test_one_write_of_the_rows(spark):
+    """From a stored table nothing but counts is written before the result."""
+    spark.range(5_000).select(F.timestamp_seconds("id").cast("timestamp_ntz").alias("t"), F.lit("a").alias("service"), "id").write.mode(
+        "overwrite").saveAsTable("key_source")
+    written = []
+
+    class Watched(Staging):
+        def write(self, df, name):
+            written.append((name, df.columns))
+            return super().write(df, name)
+
+    keyed = add_surrogate_key(spark.table("key_source"), ORDER, Watched(spark), replayable=True)
+    assert keyed.count() == 5_000 and all("id" not in columns for _, columns in written)
+    assert add_surrogate_key(spark.table("key_source").where("id < 0"), ORDER, Staging(spark)).count() == 0
 
 
 def test_content_decides_the_key(spark):
