@@ -568,6 +568,12 @@ FROM (VALUES ('yellow'), ('green')) t(s)""", "bronze"),
     "s21_materialize": "SELECT l_suppkey, COUNT(*) AS lines FROM lineitem GROUP BY 1",
     "s23_changes": sql(f"""SELECT source_month AS year_month, service_type, 'loaded' AS status, n AS row_count, CAST(1 AS BIGINT) AS logged
 FROM ({_FILES}) UNION ALL SELECT '2002-01', s, 'missing', 0, NULL FROM (VALUES ('yellow'), ('green')) t(s)""", "bronze"),
+    "s22b_stored_upsert": f"""WITH t AS (SELECT o_orderkey > MAX(o_orderkey) OVER () - MAX(o_orderkey) OVER () // 4 AS late, o_orderstatus,
+  CAST(o_totalprice AS DECIMAL(14,2)) AS price FROM orders)
+SELECT o_orderstatus, CASE WHEN late THEN true END AS corrected, COUNT(*) * CASE WHEN late THEN 2 ELSE 1 END AS orders,
+  CASE WHEN late THEN 0 ELSE {dbl("SUM(price)")} END AS price, true AS files_stay FROM t GROUP BY o_orderstatus, late""",
+    "s19_layers": """SELECT layer, n_regionkey, COUNT(*) AS nations, true AS exact
+FROM nation, (VALUES ('bronze'), ('silver'), ('gold')) AS l(layer) GROUP BY 1, 2""",
     "s23b_stream_of_changes": sql(f"""SELECT m AS year_month, service_type, 'loaded' AS status, n AS row_count,
   CASE WHEN service_type = 'green' AND m = '1997-01' THEN 'failed' ELSE 'loaded' END AS first_status,
   CASE WHEN service_type = 'green' AND m = '1997-01' THEN 0 WHEN service_type = 'yellow' AND m = '1999-01' THEN ones ELSE n END AS first_rows, revenue

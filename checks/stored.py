@@ -15,7 +15,7 @@ from farelake.operators import clean, quality
 from farelake.operators.rules import GOLD_RULES, Rule, violations
 from farelake.plans import build, dims, fact, ingest, layout, passengers, silver
 from farelake.session import Staging
-from farelake.sinks import tables
+from farelake.sinks import files, tables
 from farelake.sinks.releases import published
 from farelake.sources import star, trips as trip_files, zones as zone_files
 from farelake.sources.passengers import scan_passengers
@@ -185,6 +185,37 @@ def s21_materialize(spark, folder):
     return tables.materialize(lines, Store.of(spark, folder).table("supplier_lines"))
 
 
+@query
+def s22b_stored_upsert(spark, folder):
+    """Orders by status after the last quarter of them is replaced, and as many are added; files without their keys stay."""
+    name = Store.of(spark, folder).table(f"orders_{uuid.uuid4().hex[:8]}")
+    orders = star.table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(14,2)").alias("price"))
+    files.store_files_table(orders, name, ["o_orderkey"])
+    before = set(files.live_files(spark, name))
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    part = orders.where(F.col("o_orderkey") > last - last // 4)
+    batch = part.withColumn("price", -F.col("price")).unionByName(part.withColumn("o_orderkey", F.col("o_orderkey") + last)).withColumn(
+        "corrected", F.lit(True))
+    out = files.upsert_files_table(batch, name, ["o_orderkey"])
+    stay = bool(before & set(files.live_files(spark, name)))
+    return out.groupBy("o_orderstatus", "corrected").agg(F.count("*").alias("orders"), F.sum("price").alias("price"), F.lit(stay).alias("files_stay"))
+
+
+@query
+def s19_layers(spark, folder):
+    """Rows of a table in each layer, under exactly the layer's name."""
+    store = Store.of(spark, folder)
+    counts = []
+    for layer in ("bronze", "silver", "gold"):
+        name = f"{store.layer}_{layer}"
+        tables.ensure_layer(spark, name)
+        tables.materialize(star.table(spark, folder, "nation"), f"{name}.nation")
+        exact = F.lit(name in [row["namespace"] for row in spark.sql(f"SHOW DATABASES LIKE '{name}'").collect()])
+        counts.append(spark.table(f"{name}.nation").groupBy("n_regionkey").agg(F.count("*").alias("nations")).select(
+            F.lit(layer).alias("layer"), "n_regionkey", "nations", exact.alias("exact")))
+    return reduce(DataFrame.unionAll, counts)
+
+
 @query
 def s23_changes(spark, folder):
     """Coverage after an incremental run over all files, and a second one that finds nothing new."""
