@@ -479,8 +479,7 @@ def f08_calendar_text(spark, folder):
     return star.table(spark, folder, "orders").select(
         "o_orderkey", fx.month_start(date).alias("month"), fx.year_month(date).alias("year_month"),
         fx.month_name(date).alias("month_name"),
-        F.concat(F.year(date).cast("string"), F.lit("-"), F.lpad(F.month(date).cast("string"), 2, "0"),
-                 F.lit("-01")).alias("first_text"),
+        fx.first_of_month_text(date).alias("first_text"),
         F.make_date(F.year(date), F.month(date), F.lit(1)).alias("first_date"))
 
 

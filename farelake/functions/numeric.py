@@ -25,7 +25,11 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def rounded(value: Column, scale: int = 2) -> Column:
-    """ROUND half away from zero on the decimal value, so that 1.005 (as double) gives 1.01."""
+    """ROUND half away from zero on the decimal value, so that 1.005 (as double) gives 1.01.
+
+    A warehouse turns a double into a decimal of 15 significant digits before it rounds. Ten digits after the point do the
+    same here: binary noise of a computed mean, as in 49832.85499999999, counts as the tie that it is.
+    """
     return F.round(value.cast("decimal(38,10)"), scale)
 
 

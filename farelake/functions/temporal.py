@@ -43,3 +43,8 @@ def pickup_parts(ts: Column) -> dict[str, Column]:
         "pickup_day_of_week": day_of_week(ts),
         "pickup_hour": F.hour(ts),
     }
+
+
+def first_of_month_text(date: Column) -> Column:
+    """The first day of a date's month as text: year, dash, two digits of the month, -01."""
+    return F.concat(F.year(date).cast("string"), F.lit("-"), F.lpad(F.month(date).cast("string"), 2, "0"), F.lit("-01"))

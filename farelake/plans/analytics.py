@@ -146,15 +146,20 @@ def cash_vs_card(fact: DataFrame, payment_types: DataFrame, start: str = START,
             .agg(*_add("trips", "total_revenue"), _mean("avg_tip_pct")).orderBy(*ascending("payment_type")))
 
 
+def _exact_average(name: str):
+    """Mean of a decimal column: an exact sum, divided once."""
+    return F.sum(name).cast("double") / F.count(name)
+
+
 def avg_duration_per_month(fact: DataFrame, start: str = START, end: str = END) -> DataFrame:
     return (in_window(fact, start, end).groupBy(_month())
-            .agg(F.avg(F.col("trip_duration_minutes").cast("double")).alias("avg_duration_min"))
+            .agg(_exact_average("trip_duration_minutes").alias("avg_duration_min"))
             .orderBy(*ascending("month")))
 
 
 def avg_distance_per_month(fact: DataFrame, start: str = START, end: str = END) -> DataFrame:
     return (in_window(fact, start, end).groupBy(_month())
-            .agg(F.avg(F.col("trip_distance").cast("double")).alias("avg_distance"))
+            .agg(_exact_average("trip_distance").alias("avg_distance"))
             .orderBy(*ascending("month")))
 
 

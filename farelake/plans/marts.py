@@ -13,17 +13,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import day_name, day_of_week, day_type, exact_mean, percent, ratio, rounded, time_period
 from ..operators.clean import enrich_zones
-from ..operators.measures import MONEY_SUM, measure, roll_up
+from ..operators.measures import MICROSECONDS_PER_MINUTE, MONEY_SUM, measure, roll_up
 from ..operators.percentiles import exact_percentiles
 from ..operators.ranking import ascending
 
 _BY_DATE = ("pickup_date", "service_type")
 _CUBE_KEYS = ("pickup_date", "pickup_hour", "service_type")
 
-DAILY_MEASURES = ("trips", "passengers", "distance_sum", "duration_sum", "fare_sum", "tip_sum", "toll_sum",
+DAILY_MEASURES = ("trips", "passengers", "distance_sum", "duration_micros", "fare_sum", "tip_sum", "toll_sum",
                   "revenue_sum", "tip_ratio_sum", "tip_ratio_count", "tipped_trips", "card_trips", "cash_trips")
-HOURLY_MEASURES = ("trips", "distance_sum", "duration_sum", "revenue_sum")
-MONTHLY_MEASURES = ("trips", "passengers", "distance_sum", "duration_sum", "fare_sum", "tip_sum", "toll_sum",
+HOURLY_MEASURES = ("trips", "distance_sum", "duration_micros", "revenue_sum")
+MONTHLY_MEASURES = ("trips", "passengers", "distance_sum", "duration_micros", "fare_sum", "tip_sum", "toll_sum",
                     "revenue_sum", "tipped_trips", "card_trips", "cash_trips")
 
 
@@ -40,6 +40,10 @@ def _mean(total: str, scale: int = 2):
     return rounded(ratio(F.col(total), F.col("trips")), scale)
 
 
+def _mean_minutes():
+    return rounded(ratio(F.col("duration_micros"), F.col("trips") * MICROSECONDS_PER_MINUTE))
+
+
 def _total(name: str):
     return F.col(name).cast(MONEY_SUM)
 
@@ -66,7 +70,7 @@ def daily_from_measures(m: DataFrame) -> DataFrame:
         F.col("passengers").alias("total_passengers"),
         rounded(F.col("distance_sum")).alias("total_distance_miles"),
         _mean("distance_sum").alias("avg_distance_miles"),
-        _mean("duration_sum").alias("avg_duration_minutes"),
+        _mean_minutes().alias("avg_duration_minutes"),
         _total("fare_sum").alias("total_fare"),
         _total("tip_sum").alias("total_tips"),
         _total("toll_sum").alias("total_tolls"),
@@ -102,7 +106,7 @@ def _hourly(m: DataFrame) -> DataFrame:
         time_period(F.col("pickup_hour")).alias("time_period"),
         "service_type",
         F.col("trips").alias("total_trips"),
-        _mean("duration_sum").alias("avg_duration_minutes"),
+        _mean_minutes().alias("avg_duration_minutes"),
         _mean("distance_sum").alias("avg_distance_miles"),
         F.round(exact_mean(F.col("revenue_sum"), F.col("trips")), 2).alias("avg_revenue"),
         _total("revenue_sum").alias("total_revenue"),
@@ -149,7 +153,7 @@ def monthly_from_measures(by_date: DataFrame, medians: DataFrame) -> DataFrame:
         _total("tip_sum").alias("total_tips"),
         _total("toll_sum").alias("total_tolls"),
         _mean("distance_sum").alias("avg_distance_miles"),
-        _mean("duration_sum").alias("avg_duration_minutes"),
+        _mean_minutes().alias("avg_duration_minutes"),
         F.round(exact_mean(F.col("revenue_sum"), trips), 2).alias("avg_revenue_per_trip"),
         _mean("passengers").alias("avg_passengers_per_trip"),
         rounded(F.col("median_revenue")).alias("median_revenue"),

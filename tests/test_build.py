@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import final_plan
 from farelake.operators.quality import QualityError
-from farelake.plans import build, ingest, layout, marts, suite
+from farelake.plans import analytics, build, ingest, layout, marts, suite
 from farelake.plans.silver import silver_base
 from farelake.sinks.releases import new_release, published
 from farelake.sinks.tables import ensure_layer, replace_table
@@ -56,6 +56,19 @@ def test_marts_from_the_cube_equal_direct_marts(spark, built):
     assert "processed_at" in built["gold_zone_analytics"].columns
 
 
+def test_sums_do_not_depend_on_the_partitioning(spark, built):
+    """Equal to the last digit when the rows meet in another order."""
+    base = silver_base(spark.table(CONFIG.trips_table))
+    shuffled = [base.repartition(7, "fare_amount"), base.repartition(3, "dropoff_datetime").sortWithinPartitions("total_amount")]
+    for mart in (marts.daily_revenue, marts.hourly_patterns, marts.monthly_summary):
+        for other in shuffled:
+            same(mart(base), mart(other))
+    fact = built["fct_trips"]
+    for question in (analytics.avg_duration_per_month, analytics.avg_distance_per_month):
+        window = {"start": "1997-01-01", "end": "1998-01-01"}
+        same(question(fact, **window), question(fact.repartition(5, "fare_amount"), **window))
+
+
 def test_range_partitions_are_pruned(built):
     text = final_plan(layout.pruned_count(built["fct_trips"], "1997-03-01", "1997-03-31"))
     assert "year_month" in text.split("PartitionFilters: [")[1].split("]")[0]

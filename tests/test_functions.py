@@ -37,6 +37,12 @@ def test_ratio_percent_and_means(spark):
     assert values(spark, [(Decimal("2.01"), 2)], "s decimal(20,2), n long", mean) == [(Decimal("1.01"),)]
 
 
+def test_rounding_takes_binary_noise_as_a_tie(spark):
+    row = spark.sql("SELECT 1.005D AS a, 49832.85499999999D AS b, -2.675D AS c, 1.0049999D AS d").select(
+        *[fx.rounded(F.col(name)).cast("string").alias(name) for name in "abcd"]).first()
+    assert tuple(map(float, row)) == (1.01, 49832.86, -2.68, 1.0)
+
+
 def test_nan_becomes_null(spark):
     assert values(spark, [(float("nan"),), (1.0,)], "x double", fx.nan_to_null(F.col("x"))) == [(None,), (1.0,)]
 
