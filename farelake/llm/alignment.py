@@ -284,9 +284,9 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, outputs: Iterable
                         *(kinds[name] for name in OUTPUTS if name in wanted)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a = once_per_worker(("byte-level", path_a), lambda: ByteLevelSide(path_a))
-        b = once_per_worker(("pieces", path_b), lambda: PieceSide(path_b))
-        names = once_per_worker(("names", path_a, path_b), lambda: [*_names(a, b",", b"|"), *_names(b, b",", b";")])
+        a = once_per_worker("byte-level", path_a, lambda: ByteLevelSide(path_a))
+        b = once_per_worker("pieces", path_b, lambda: PieceSide(path_b))
+        names = once_per_worker("names", (path_a, path_b), lambda: [*_names(a, b",", b"|"), *_names(b, b",", b";")])
         for batch in _batches(batches):
             ids_a, ids_b = encoded_batch(batch.column("text").to_pylist(), a, b)
             count = batch.num_rows

@@ -13,12 +13,22 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 KEY = ["_llm_id", "_llm_key"]
 
 
-def once_per_worker(key: Hashable, make: Callable):
-    """``make()``, kept for the life of the Python worker: a task's functions are copies, with module variables of their own."""
+def once_per_worker(slot: str, key: Hashable, make: Callable):
+    """``make()``, kept in the Python worker until the slot is asked for another key.
+
+    A task's functions are copies with module variables of their own, so what outlives a task is kept beside them.
+    """
     held = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker")).__dict__.setdefault("held", {})
-    if key not in held:
-        held[key] = make()
-    return held[key]
+    if slot not in held or held[slot][0] != key:
+        held[slot] = key, make()
+    return held[slot][1]
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that ``df`` does not have."""
+    while wanted.lower() in (name.lower() for name in df.columns):
+        wanted += "_"
+    return wanted
 
 
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
