@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import slices
+from .common import once_per_worker, slices
 
 MAGIC = b"S8B1"
 BLOCK_IDS = 4096
@@ -166,7 +167,8 @@ class WordEncoder:
 
     def _parted(self, word: str) -> tuple[str, str]:
         body = word.rstrip(self.MARKS)
-        if not body or not body[-1].isalpha():
+        # Other letters may become several characters in lower case, of which the last one joins the mark.
+        if not body or not self.LATIN.fullmatch(body[-1]):
             body = word
         return (body.lower() if body.isascii() and "<" not in body else body), word[len(body):]
 
@@ -203,10 +205,11 @@ def write_corpus(docs: DataFrame, path: str, encoder: Callable[[], WordEncoder],
     ordered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("tie"))
     ordered = ordered.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     end = np.array([end_id], dtype="<u4").tobytes()
+    key = uuid.uuid4().hex
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, first = TaskContext.get().partitionId(), 0, 0
-        words = encoder()
+        words = once_per_worker("word-ids", key, encoder)
         ids: list[bytes] = []
         owners: list = []
         held = 0

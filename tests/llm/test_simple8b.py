@@ -44,7 +44,8 @@ def test_damage_is_found():
 
 
 TEXTS = ["Hello, World!", "it's we're 'quoted'", "naïve café é İstanbul ΣΑΣ", "a\x1cb \x1f c", "x<|endoftext|>, y <|startoftext|>.",
-         "a|b|c ### $$$word%%% 12,345.67", " nbsp wide　", "", " \n\t", "漢字 🙂🙃!!", "word.́ end", "A" * 5000, "ſtrange ﬁne ½"]
+         "a|b|c ### $$$word%%% 12,345.67", " nbsp wide　", "", " \n\t", "漢字 🙂🙃!!", "word.́ end", "A" * 5000, "ſtrange ﬁne ½",
+         "İ,", "ADANALİ.", "HACİ, dedi", "ẞ! Ǆ? ŉ;", "É, ÀÉ. œ:"]
 
 
 @pytest.mark.parametrize("kept", [0, 200_000])
