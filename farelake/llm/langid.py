@@ -13,6 +13,7 @@ alike; an empty table gives an empty result; only doc_id, text and lang are read
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -21,7 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import append_columns, slices
+from ..session import Staging
+from .common import append_columns, once_per_worker, slices
 
 UNKNOWN = "und"
 LONGEST = 4
@@ -95,23 +97,25 @@ def _log_table(rows: list, languages: list[str], totals: dict[str, int]) -> dict
 
 
 def _most_frequent(counts: DataFrame, languages: list[str], most: int) -> tuple[list, dict[str, int]]:
-    """The entries of each language above the count that at most ``most`` of its entries exceed, and all counts' sums."""
+    """The ``most`` entries of each language with the highest counts (of equal counts the first ones), and all counts' sums."""
     by_count = counts.groupBy("lang", "n").agg(F.count("*").alias("entries"))
     sizes: dict[str, list] = {language: [] for language in languages}
     for row in by_count.collect():  # a row per language and different count
         sizes[row["lang"]].append((row["n"], row["entries"]))
-    chosen = F.lit(False)
+    chosen, rest = F.lit(False), []
     for language in languages:
-        total, least = 0, None
+        taken, above = 0, 0
+        own = F.col("lang") == language
         for n, entries in sorted(sizes[language], reverse=True):
-            total += entries
-            if total > most:
+            if taken + entries > most:
+                # The class of counts that is cut: each task sends the first entries of it.
+                rest += [tuple(row) for row in counts.where(own & (F.col("n") == n)).orderBy("entry").limit(most - taken).collect()]
+                above = n
                 break
-            least = n
-        if least is not None:
-            chosen = chosen | ((F.col("lang") == language) & (F.col("n") >= least))
+            taken += entries
+        chosen = chosen | (own & (F.col("n") > above))
     totals = {language: sum(n * entries for n, entries in some) for language, some in sizes.items()}
-    return [tuple(row) for row in counts.where(chosen).collect()], totals
+    return [*(tuple(row) for row in counts.where(chosen).collect()), *rest], totals
 
 
 def fit_languages(docs: DataFrame, fit_docs: int = FIT_DOCS) -> LanguageModel:
@@ -144,7 +148,8 @@ def fit_languages(docs: DataFrame, fit_docs: int = FIT_DOCS) -> LanguageModel:
         yield from counted()
 
     parts = usable.where(chosen).select("lang", "text").mapInArrow(count_words, "lang string, entry string, n long")
-    words = parts.groupBy("lang", "entry").agg(F.sum("n").alias("n"))
+    staging = Staging(docs.sparkSession)
+    words = staging.write(parts.groupBy("lang", "entry").agg(F.sum("n").alias("n")), "words")
     marked = words.select("lang", "n", "entry", F.concat(F.lit("^"), "entry", F.lit("$")).alias("marked"))
     singles = marked.select("lang", "n", F.explode(F.split("entry", "")).alias("entry")).where("entry <> ''")
     grams = singles
@@ -152,21 +157,23 @@ def fit_languages(docs: DataFrame, fit_docs: int = FIT_DOCS) -> LanguageModel:
         starts = marked.where(F.length("marked") >= size).select("lang", "n", "marked", F.explode(
             F.sequence(F.lit(1), F.length("marked") - (size - 1))).alias("at"))
         grams = grams.unionByName(starts.select("lang", "n", F.substring("marked", F.col("at"), F.lit(size)).alias("entry")))
-    grams = grams.groupBy("lang", "entry").agg(F.sum("n").alias("n"))
+    grams = staging.write(grams.groupBy("lang", "entry").agg(F.sum("n").alias("n")), "n-grams")
     share = ENTRIES // len(languages)
     word_rows, word_totals = _most_frequent(words.select("lang", "entry", "n"), languages, min(WORDS, share))
     gram_rows, gram_totals = _most_frequent(grams.select("lang", "entry", "n"), languages, min(GRAMS, share))
     # n-grams of one length share one total: it is that of their length in the language, up to a factor common to all.
-    return LanguageModel(languages, _log_table(word_rows, languages, word_totals), _log_table(gram_rows, languages, gram_totals))
+    model = LanguageModel(languages, _log_table(word_rows, languages, word_totals), _log_table(gram_rows, languages, gram_totals))
+    staging.drop()
+    return model
 
 
 def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """Append lang_pred and score."""
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.words, model.grams))
-    kept: dict = {}
+    key = uuid.uuid4().hex
 
     def run(texts):
-        model = kept.get("model") or kept.setdefault("model", LanguageModel(*sent.value))
+        model = once_per_worker("languages", key, lambda: LanguageModel(*sent.value))
         found = [model.predict(text) for text in texts]
         return [pa.array([f[0] for f in found], type=pa.string()), pa.array([f[1] for f in found], type=pa.float64())]
 

@@ -53,6 +53,15 @@ def test_model_size_is_bounded(spark, monkeypatch):
     assert len(model.words) <= 4 * len(model.languages)
 
 
+def test_equal_counts_fill_the_tables(spark, monkeypatch):
+    """600 words of one count each: the first 100 of them are learned, not none."""
+    monkeypatch.setattr(langid, "WORDS", 100)
+    words = [f"{a}{b}{c}{d}" for a in "bdfgk" for b in "aeiou" for c in "lmnprstvwxyz" for d in "ao"]
+    docs = spark.createDataFrame([(n, " ".join(words[at:at + 50]), "xx") for n, at in enumerate(range(0, 600, 50))], "doc_id long, text string, lang string")
+    model = langid.fit_languages(docs)
+    assert sorted(model.words) == sorted(words)[:100]
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
