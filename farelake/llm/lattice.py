@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import re
 import string
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -40,7 +41,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..session import Staging
-from .common import append_columns, slices
+from .common import append_columns, once_per_worker, slices
 
 SPACE = "▁"
 FOLD_CHARS = 60       # a unit's boundaries are the bits of one long
@@ -372,12 +373,10 @@ def encode(docs: DataFrame, path: str, staging: Staging, hot: int = HOT_UNITS, c
     frequent = vocabulary.where((F.col("n") >= _hot_units(vocabulary, hot)) & (F.length("unit") <= FOLD_CHARS)).select("unit")
     table = encode_units(frequent, model).select("unit", _packed("ids").alias("ids")).toArrow()
     known = spark.sparkContext.broadcast((table.column("unit").to_pylist(), table.column("ids").to_pylist()))
-    found: dict = {}
+    key = uuid.uuid4().hex
 
     def run(texts: list) -> list[pa.Array]:
-        if not found:
-            found["encoder"] = UnitEncoder(model, dict(zip(*known.value)))
-        encoder = found["encoder"]
+        encoder = once_per_worker("unit-ids", key, lambda: UnitEncoder(model, dict(zip(*known.value))))
         return [pa.array([None if text is None else encoder.encode(text) for text in texts], type=pa.list_(pa.int32()))]
 
     return append_columns(docs, "text", [T.StructField(column, T.ArrayType(T.IntegerType()))], run)
