@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import Staging
-from .common import KEY, keyed
+from .common import KEY, free_name, keyed
 
 MIN_WORDS = 50
 # White space of Unicode as Python's str.split sees it.
@@ -115,20 +115,25 @@ def repeated_lines(docs: DataFrame, staging: Staging, min_words: int = MIN_WORDS
     return later.select(*KEY, F.explode(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("line")).distinct()
 
 
-def deduplicate_lines(docs: DataFrame, staging: Staging, min_words: int = MIN_WORDS, wordless: int = 1) -> DataFrame:
+def deduplicate_lines(docs: DataFrame, staging: Staging, min_words: int = MIN_WORDS, wordless: int = 1,
+                      deleted: str = "deleted_lines") -> DataFrame:
     """All rows and columns of ``docs`` with the later copies of repeated runs cut out of ``text``.
 
-    Adds ``deleted_lines``, the sorted numbers (from 0) of the lines that were cut.
+    Adds ``deleted``, the sorted numbers (from 0) of the lines that were cut; it must be a name that ``docs`` doesn't have.
     """
-    marks = repeated_lines(docs, staging, min_words, wordless).groupBy(*KEY).agg(F.array_sort(F.collect_list("line")).alias("_llm_cut"))
+    if deleted in docs.columns:
+        raise ValueError(f"the documents have a column {deleted}")
+    cut = free_name(docs, "_llm_cut")
+    marks = repeated_lines(docs.select("doc_id", "text"), staging, min_words, wordless).groupBy(*KEY).agg(
+        F.array_sort(F.collect_list("line")).alias(cut))
     marks = staging.write(marks, "marks")
     joined = keyed(docs).join(marks.hint("merge"), KEY, "left").select(
-        *docs.columns, F.coalesce("_llm_cut", F.array().cast("array<int>")).alias("deleted_lines"))
+        *docs.columns, F.coalesce(cut, F.array().cast("array<int>")).alias(deleted))
     pieces = F.split("text", "\n", -1)
 
     def without_cut(lines):
-        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("deleted_lines"))
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(deleted))
         return F.array_join(F.transform(kept, lambda at: lines[at]), "\n")
 
-    text = F.when(F.size("deleted_lines") == 0, F.col("text")).otherwise(F.transform(F.array(pieces), without_cut)[0])
+    text = F.when(F.size(deleted) == 0, F.col("text")).otherwise(F.transform(F.array(pieces), without_cut)[0])
     return joined.withColumn("text", text)

@@ -26,7 +26,7 @@ from datetime import date
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from .common import append_columns
+from .common import append_columns, free_name
 
 ROUNDS = 10
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
@@ -272,8 +272,9 @@ def pseudonymise(text: str, feistel: Feistel) -> tuple[str, list[tuple[str, int,
 
 
 def pseudonymise_documents(docs: DataFrame, key: bytes, spans: str = "pii_spans") -> DataFrame:
-    """All rows and columns with the pseudonyms in ``text``; adds the replaced spans."""
-    text_field = "_llm_pseudonyms"
+    """All rows and columns with the pseudonyms in ``text``; adds the replaced spans, in place of an own column of that name."""
+    docs = docs.drop(spans)
+    text_field = free_name(docs, "_llm_pseudonyms")
 
     def run(texts):
         feistel = Feistel(key)

@@ -53,10 +53,9 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.size(F.split("text", "\n", -1)).alias("n_lines"))
     found = linededup.deduplicate_lines(docs, Staging(spark), wordless=0)
-    # The cut text's lines and the deleted ones are all lines of the document.
-    kept = F.size(F.split("text", "\n", -1))
+    kept = F.col("n_lines") - F.size("deleted_lines")
     return found.select(
         "doc_id", F.size("deleted_lines").alias("n_deleted"), "deleted_lines", kept.alias("n_kept"),
         F.crc32("text").alias("text_crc32"))

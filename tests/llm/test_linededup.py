@@ -104,6 +104,16 @@ def test_first_of_a_repeated_row_with_null_id_stays(spark):
     assert sorted(row["text"] for row in rows) == ["", prose(1), prose(1)]
 
 
+def test_counts_of_an_emptied_document(spark, tmp_path):
+    """Deleted and kept lines are all lines, also of a document that loses all of them."""
+    passage = prose(5, 80)
+    rows = [(1, passage), (2, passage), (3, passage + "\nown line"), (4, ""), (5, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {row["doc_id"]: (row["n_deleted"], row["n_kept"]) for row in op6_line_dedup(spark, str(tmp_path)).collect()}
+    lines = passage.count("\n") + 1
+    assert found[1] == (0, lines) and found[2] == (lines, 0) and found[3] == (lines, 1) and found[4] == (0, 1)
+
+
 def test_whole_table(spark):
     folder = "/root/testdata/sf0.01"
     texts = [(row["doc_id"], row["text"]) for row in spark.read.parquet(f"{folder}/documents.parquet").collect()]

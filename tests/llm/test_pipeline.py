@@ -1,6 +1,7 @@
 import inspect
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from tables import documents, none
 from test_linededup import shortest_runs
 from test_nearcopies import kept
@@ -26,6 +27,15 @@ def test_stages_take_awkward_rows(spark):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() == docs.count()
 
 
+def test_stages_keep_clashing_columns(spark):
+    own = {name: F.lit("own") for name in ("deleted_lines", "_llm_score", "_llm_cut", "_llm_matches", "_llm_copy", "set", "band", "line", "match")}
+    docs = documents(spark).withColumns(own)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, FOLDER)
+        assert out.columns == docs.columns and out.where(" OR ".join(f"`{c}` <> 'own'" for c in own)).count() == 0, name
+        assert out.count() > 0
+
+
 def test_stages_against_brute_force(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     for (name, stage), check in zip(corpus_pipeline.STAGES, (None, lines, groups, leaks, None)):
