@@ -533,6 +533,21 @@ _TOTALS = "COUNT(*) AS trips, CAST(SUM(CAST(total_amount AS DECIMAL(14,2))) AS D
 _FILE_MONTH = "SUBSTR(source_month, 1, 4) || '-01'"
 _FILES = f"""SELECT service_type || '_tripdata_' || {_FILE_MONTH} || '.parquet' AS filename, service_type,
   {_FILE_MONTH} AS source_month, COUNT(*) AS n FROM bronze GROUP BY 1, 2, 3"""
+def _profiles() -> str:
+    """Counts per service and month of the columns that the suite tests in the service views."""
+    kept = "FROM silver WHERE (NOT starts_with(source_month, '1999') OR fare_amount > 20000)"
+    key = "'silver_' || service_type || '_trips' AS table_name, source_month AS part"
+    parts = ["SELECT 'silver_' || s || '_trips' AS table_name, m.source_month AS part, 'rows' AS measure, CAST(NULL AS VARCHAR) AS value,"
+             f" (SELECT COUNT(*) {kept} AND service_type = s AND source_month = m.source_month) AS n"
+             " FROM (SELECT DISTINCT source_month FROM bronze) m, (VALUES ('yellow'), ('green')) t(s)"]
+    for column in ("pickup_datetime", "dropoff_datetime", "trip_distance", "pu_location_id", "do_location_id"):
+        parts.append(f"SELECT {key}, 'null:{column}', NULL, COUNT(*) - COUNT({column}) {kept} GROUP BY service_type, source_month")
+    for column in ("service_type", "pu_location_id", "do_location_id"):
+        parts.append(f"SELECT {key}, 'value:{column}', {text('silver.' + column)}, COUNT(*) {kept}"
+                     f" GROUP BY service_type, source_month, silver.{column}")
+    return sql(" UNION ALL ".join(parts), "bronze", "silver")
+
+
 _PASSENGERS = """SELECT CAST(c_custkey AS INT) AS "PassengerId", CAST(c_custkey % 2 AS INT) AS "Survived",
   CAST(c_custkey % 3 + 1 AS INT) AS "Pclass", c_name AS "Name", 'x' AS "Sex",
   CASE WHEN c_custkey % 5 <> 0 THEN CAST(c_custkey % 80 AS DOUBLE) END AS "Age", CAST(c_nationkey % 4 AS INT) AS "SibSp",
@@ -557,6 +572,7 @@ ORACLE |= {
     "s06_trip_csv": sql(f"SELECT service_type, payment_type, {_TOTALS} FROM bronze GROUP BY 1, 2", "bronze"),
     "s07_passenger_csv": _PASSENGERS,
     "s11_append": "SELECT l_returnflag, l_linestatus, COUNT(*) AS lines FROM lineitem GROUP BY 1, 2",
+    "d09c_month_profiles": _profiles(),
     "s13_replace_month": sql(f"SELECT service_type, source_month, {_TOTALS} FROM bronze WHERE NOT starts_with(source_month, '1999')"
                              " OR fare_amount > 20000 GROUP BY 1, 2", "bronze"),
     "s15_ingest_status": sql(f"""SELECT filename, service_type, source_month, 'loaded' AS status, n AS row_count,

@@ -428,20 +428,21 @@ def d08_valid_hours(spark, folder):
 def d09_suite(spark, folder):
     """All 44 tests over the layers built from the tables, on the fact with its real key.
 
-    As in a build, bronze and the fact are written once and the tests read the written tables.
+    As in a build, bronze, the fact and the cube of the marts are written once and the tests read the written tables.
     """
     staging = Staging(spark)
     bronze, zones = staging.write(_bronze(spark, folder), "bronze"), _zones(spark, folder)
     yellow, green = silver.silver_yellow(bronze, zones), silver.silver_green(bronze, zones)
     base = silver.silver_base(bronze)
+    cube = staging.write(marts.trip_cube(base), "cube")
     facts = fact.keyed_fact(fact.fct_trips(base, *DOMAIN), staging, replayable=True)
     return suite.suite_results({
         "silver_yellow_trips": yellow, "silver_green_trips": green,
-        "silver_trips_unified": silver.silver_unified(yellow, green),
+        "silver_trips_unified": base,
         "taxi_zone_lookup": zones, "fct_trips": staging.write(facts, "fact"), "dim_zone": dims.dim_zone(zones),
         "dim_date": dims.dim_date(spark, *DOMAIN), "dim_service_type": dims.dim_service_type(spark),
-        "dim_payment_type": dims.dim_payment_type(spark), "gold_daily_revenue": marts.daily_revenue(base),
-        "gold_hourly_patterns": marts.hourly_patterns(base),
+        "dim_payment_type": dims.dim_payment_type(spark), "gold_daily_revenue": marts.daily_from_cube(cube),
+        "gold_hourly_patterns": marts.hourly_from_cube(cube),
     })
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farelake.operators import clean, quality
 from farelake.operators.rules import GOLD_RULES, Rule, violations
-from farelake.plans import build, dims, fact, ingest, layout, passengers, silver
+from farelake.plans import build, dims, fact, ingest, layout, passengers, silver, suite
 from farelake.session import Staging
 from farelake.sinks import files, tables
 from farelake.sinks.releases import published
@@ -153,6 +153,22 @@ def s13_replace_month(spark, folder):
     return _totals(spark.table(name), "service_type", "source_month")
 
 
+@query
+def d09c_month_profiles(spark, folder):
+    """Stored profiles of the service views: all months, then only those of 1999 after they lost their cheap trips."""
+    store = Store.of(spark, folder)
+    name, profiled = (store.table(f"{kind}_{uuid.uuid4().hex[:8]}") for kind in ("profiled", "profiles"))
+    trips, zones = star.bronze_trips(spark, folder), star.zone_lookup(spark, folder)
+    months = [row["source_month"] for row in trips.select("source_month").distinct().collect()]  # the load calendar
+    late = [month for month in months if month.startswith("1999")]
+    for rows, changed in ((trips, months), (trips.where(F.col("source_month").startswith("1999") & (F.col("fare_amount") > 20000)), late)):
+        ingest.replace_month(rows, name)
+        bronze = spark.table(name)
+        suite.refresh_profiles({"silver_yellow_trips": silver.silver_yellow(bronze, zones),
+                                "silver_green_trips": silver.silver_green(bronze, zones)}, profiled, changed)
+    return spark.table(profiled).select("table_name", "part", "measure", "value", "n")
+
+
 @query
 def s15_ingest_status(spark, folder):
     """Status of every file and of the months without one."""

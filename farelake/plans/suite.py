@@ -1,7 +1,8 @@
-"""The data-test suite: 44 tests over silver and gold, evaluated in a few passes per table.
+"""The data-test suite: 44 tests over silver and gold, evaluated from one profile per table.
 
-Tests are declared as data. Each table is read once for its row tests and row count, once for all of its value tests, and
-once per unique column. Everything becomes one DataFrame with one row per test.
+Tests are declared as data. Each table is read once for its profile, which answers row, value and relationship tests and
+the row count, and once per unique column. Profiles can be stored per month, so that a later run profiles only the months
+that changed. Everything becomes one DataFrame with one row per test.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..operators import quality
 from ..operators.quality import QualityError
 from ..schemas import SERVICES
+from .profiles import ROWS, merged, profile, store_profile, stored_profile
 
+MONTH = "source_month"
 PAYMENT_KINDS = ("card", "cash", "other")
 
 
@@ -72,53 +75,75 @@ def _long(df: DataFrame, counters: Mapping[str, Column]) -> DataFrame:
     return row.select(F.inline(entries))
 
 
-def _row_tests(tests: TableTests, df: DataFrame) -> DataFrame | None:
-    counters = {f"not_null_{tests.table}_{c}": F.count_if(F.col(c).isNull()) for c in tests.not_null}
+def table_profile(tests: TableTests, df: DataFrame, by: str | None = None) -> DataFrame:
+    """All counts that a table's row, value and relationship tests need, from one scan."""
+    rules = {TEMPORAL: quality.breaks_trip_rule()} if tests.table == "silver_trips_unified" else {}
+    return profile(df, tests.not_null, [*tests.accepted, *tests.relationships], rules, by)
+
+
+def _profile_tests(tests: TableTests, counts: DataFrame, columns: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame | None:
+    """(test, failures) from a profile. Parents are joined to the distinct values, not to the table."""
+    def total(measure: str) -> Column:
+        return F.sum(F.when(F.col("measure") == measure, F.col("n")))
+
+    counters = {f"not_null_{tests.table}_{c}": total(f"null:{c}") for c in tests.not_null}
     if tests.table == "silver_trips_unified":
-        counters[TEMPORAL] = F.count_if(quality.breaks_trip_rule())
-        counters[COUNTS] = F.count("*")
+        counters[TEMPORAL] = total(f"rule:{TEMPORAL}")
+        counters[COUNTS] = total(ROWS)
     elif tests.table in ("silver_yellow_trips", "silver_green_trips"):
-        counters[COUNTS] = -F.count("*")  # the three signed counts add up to zero when consistent
-    return _long(df, counters) if counters else None
+        counters[COUNTS] = -total(ROWS)  # the three signed counts add up to zero when consistent
+    for column, allowed in tests.accepted.items():
+        counters[f"accepted_values_{tests.table}_{column}"] = F.count_if(
+            (F.col("measure") == f"value:{column}") & ~F.col("value").isin(*map(str, allowed)))
+    values = merged([counts])
+    for i, (column, (parent, parent_column)) in enumerate(tests.relationships.items()):
+        # Compared as text in the child's type, so 7 and 7.0 are one key.
+        key = F.col(parent_column).cast(columns.schema[column].dataType).cast("string")
+        keys = tables[parent].select(key.alias(f"_parent{i}")).distinct()
+        same = (F.col("measure") == f"value:{column}") & (F.col("value") == F.col(f"_parent{i}"))
+        values = values.join(keys, same, "left")
+        orphan = (F.col("measure") == f"value:{column}") & F.col("value").isNotNull() & F.col(f"_parent{i}").isNull()
+        counters[f"relationships_{tests.table}_{column}"] = F.sum(F.when(orphan, F.col("n")))
+    return _long(values, counters) if counters else None
 
 
-def _value_tests(tests: TableTests, df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame | None:
-    """All accepted_values and relationships tests of a table from its distinct values.
+def refresh_profiles(tables: Mapping[str, DataFrame], store: str, months: Sequence[str],
+                     suite: Sequence[TableTests] = SUITE) -> None:
+    """Recompute the stored profiles of the given months, for the suite's tables that have a month; only these are read.
 
-    Grouping sets give one row per distinct value of each tested column, with its row count; the other columns are NULL
-    there. Parents are joined to those few rows, not to the table.
+    The first call takes every month. Later ones take the months that a load reports as changed.
     """
-    columns = list(dict.fromkeys([*tests.accepted, *tests.relationships]))
-    if not columns:
-        return None
-    values = df.groupingSets([[c] for c in columns], *columns).agg(F.count("*").alias("_n"))
-    counters = {
-        f"accepted_values_{tests.table}_{column}": F.count_if(~F.col(column).isin(*allowed))
-        for column, allowed in tests.accepted.items()
-    }
-    for i, (column, (parent, parent_column)) in enumerate(tests.relationships.items()):
-        keys = tables[parent].select(F.col(parent_column).alias(f"_parent{i}")).distinct()
-        values = values.join(keys, F.col(column) == F.col(f"_parent{i}"), "left")
-        orphan = F.col(column).isNotNull() & F.col(f"_parent{i}").isNull()
-        counters[f"relationships_{tests.table}_{column}"] = F.sum(F.when(orphan, F.col("_n")))
-    return _long(values, counters)
+    for tests in suite:
+        df = tables.get(tests.table)
+        if df is not None and MONTH in df.columns:
+            rows = table_profile(tests, df.where(F.col(MONTH).isin(*months)), MONTH)
+            store_profile(rows, tests.table, store, months)
+
+
+def stored_profiles(tables: Mapping[str, DataFrame], store: str, suite: Sequence[TableTests] = SUITE) -> dict[str, DataFrame]:
+    """The stored profiles of the suite's tables that have a month, for ``suite_results``."""
+    return {tests.table: stored_profile(tables[tests.table].sparkSession, tests.table, store)
+            for tests in suite if MONTH in tables[tests.table].columns}
 
 
 def _unique_tests(tests: TableTests, df: DataFrame) -> list[DataFrame]:
     return [_long(quality.unique(df, c), {f"unique_{tests.table}_{c}": F.count("*")}) for c in tests.unique]
 
 
-def suite_results(tables: Mapping[str, DataFrame], suite: Sequence[TableTests] = SUITE) -> DataFrame:
+def suite_results(tables: Mapping[str, DataFrame], suite: Sequence[TableTests] = SUITE,
+                  profiles: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """(test, failures, status) for every test of the suite and the four rules over silver and the marts.
 
     failures are violating rows for not_null, relationships and the rules, and violating values for unique and
-    accepted_values. Rules whose table is not given are left out.
+    accepted_values. Rules whose table is not given are left out. A table whose profile is given is not read, but for
+    its unique columns.
     """
     parts: list[DataFrame] = []
     for tests in suite:
         df = tables[tests.table]
-        passes = (_row_tests(tests, df), _value_tests(tests, df, tables))
-        parts += [part for part in passes if part is not None] + _unique_tests(tests, df)
+        counts = (profiles or {}).get(tests.table)
+        part = _profile_tests(tests, table_profile(tests, df) if counts is None else counts, df, tables)
+        parts += ([] if part is None else [part]) + _unique_tests(tests, df)
     if "gold_daily_revenue" in tables:
         parts.append(_long(quality.negative_revenue(tables["gold_daily_revenue"]), {REVENUE: F.count("*")}))
     if "gold_hourly_patterns" in tables:
@@ -133,9 +158,10 @@ def suite_results(tables: Mapping[str, DataFrame], suite: Sequence[TableTests] =
         "test", "failures", F.when(F.col("failures") == 0, "pass").otherwise("fail").alias("status"))
 
 
-def run_suite(tables: Mapping[str, DataFrame], suite: Sequence[TableTests] = SUITE) -> DataFrame:
+def run_suite(tables: Mapping[str, DataFrame], suite: Sequence[TableTests] = SUITE,
+              profiles: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Evaluate the suite in one job and fail if any test fails."""
-    results = suite_results(tables, suite)
+    results = suite_results(tables, suite, profiles)
     rows = results.orderBy("test").collect()  # one row per declared test
     failed = [f"{r['test']} ({r['failures']})" for r in rows if r["failures"]]
     if failed:
