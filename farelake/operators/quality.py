@@ -23,6 +23,34 @@ def unique(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def crowded_ranges(df: DataFrame, column: str) -> DataFrame:
+    """Ranges of a whole-number key that hold more rows than values, as (range); NULL is ignored.
+
+    Every task keeps one bit per key value of the ranges that it meets, so what is shuffled is a count and a bitmap per
+    range and task instead of the keys. Meant for keys without wide gaps whose files hold stretches of them; scattered
+    keys cost a bitmap of 4 KB for each range in each task, and ``unique`` is the better test.
+    """
+    key = F.col(column).cast("long")
+    values = F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(key)))
+    return (
+        df.where(key.isNotNull()).groupBy(F.bitmap_bucket_number(key).alias("range"))
+        .agg(F.count("*").alias("n_rows"), values.alias("n_values")).where(F.col("n_rows") > F.col("n_values"))
+        .select("range")
+    )
+
+
+def unique_dense(df: DataFrame, column: str) -> DataFrame:
+    """The result of ``unique`` for a whole-number key without wide gaps; the ranges are counted at once, by a job.
+
+    Without a crowded range no key is shuffled. Otherwise only the rows of crowded ranges are compared.
+    """
+    crowded = crowded_ranges(df, column)
+    if crowded.isEmpty():
+        return df.sparkSession.createDataFrame([], df.select(column).schema.add("n_records", "long", False))
+    at = F.bitmap_bucket_number(F.col(column).cast("long"))
+    return unique(df.select(column, at.alias("range")).join(crowded, "range", "left_semi"), column)
+
+
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Values outside the list with their row counts; NULL passes."""
     return (
