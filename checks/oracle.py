@@ -570,6 +570,9 @@ ORACLE |= {
     "s04_zone_if_missing": sql('SELECT Borough, COUNT(*) AS zones FROM zones GROUP BY 1', "zones"),
     "s05_zone_seed": sql("SELECT LocationID, COALESCE(Borough, 'N/A') AS Borough, Zone, service_zone FROM zones", "zones"),
     "s06_trip_csv": sql(f"SELECT service_type, payment_type, {_TOTALS} FROM bronze GROUP BY 1, 2", "bronze"),
+    "s06b_rejected_lines": sql("""SELECT service_type, 'good' AS reason, COUNT(*) AS lines FROM bronze
+WHERE (pu_location_id % 13 = 0) IS NOT TRUE GROUP BY 1
+UNION ALL SELECT NULL, 'no value: fare_amount', COUNT(*) FROM bronze WHERE pu_location_id % 13 = 0""", "bronze"),
     "s07_passenger_csv": _PASSENGERS,
     "s11_append": "SELECT l_returnflag, l_linestatus, COUNT(*) AS lines FROM lineitem GROUP BY 1, 2",
     "d09c_month_profiles": _profiles(),

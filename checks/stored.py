@@ -17,7 +17,7 @@ from farelake.plans import build, dims, fact, ingest, layout, passengers, silver
 from farelake.session import Staging
 from farelake.sinks import files, tables
 from farelake.sinks.releases import published
-from farelake.sources import star, trips as trip_files, zones as zone_files
+from farelake.sources import rejects, star, trips as trip_files, zones as zone_files
 from farelake.sources.passengers import scan_passengers
 from farelake.streaming.monthly import ingest_changes, ingest_stream
 
@@ -126,6 +126,19 @@ def s06_trip_csv(spark, folder):
     return _totals(read, "service_type", "payment_type")
 
 
+@query
+def s06b_rejected_lines(spark, folder):
+    """All trips as CSV, the fare of every thirteenth pickup zone spoilt: good rows by service, other lines by reason."""
+    store = Store.of(spark, folder)
+    raw = star.raw_trips(spark, folder)
+    spoilt = raw.withColumn("fare_amount", F.when(F.col("PULocationID") % 13 == 0, "n/a").otherwise(F.col("fare_amount").cast("string")))
+    path = store.path("spoilt_csv", lambda target: tables.write_csv(spoilt, target))
+    good, bad = rejects.split_csv(spark, path, raw.schema, store.staging)
+    kept = good.groupBy("service_type").agg(F.lit("good").alias("reason"), F.count("*").alias("lines"))
+    aside = rejects.rejects_per_file(bad).groupBy("reason").agg(F.sum("lines").alias("lines"))
+    return kept.unionByName(aside.withColumn("service_type", F.lit(None).cast("string")))
+
+
 @query
 def s07_passenger_csv(spark, folder):
     return scan_passengers(spark, Store.of(spark, folder).passengers()).drop("Cabin")
