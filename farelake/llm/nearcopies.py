@@ -1,17 +1,23 @@
-"""Near copies by exact Jaccard similarity of word shingles, found by MinHash bands.
+"""Near copies by exact Jaccard similarity of word shingles, found by SimHash anchors and, beyond three bits, MinHash bands.
 
 Two texts are near copies if the sets of their five-word shingles have a Jaccard similarity of 0.8 or more; a text of
 fewer words is one shingle. Words are those of the SimHash (ASCII spaces divide them, ASCII letters are lower-cased).
-Equal sets are one row before anything is compared. A set has 24 bands of 5 MinHash values, and two sets are compared
-if they agree in a band: at a similarity of 0.8 a pair is missed with probability (1 - 0.8**5)**24, which is 0.00007.
-Every link is verified on the shingles (as 64-bit hashes), so bands decide only what is compared.
-
-First each set of a band value is compared with the value's smallest set, then with the one that has the most links so far,
-which joins a group around one text by as many rows as it has sets. Sets that share a band value and still lie apart meet in
+Equal sets are one row before anything is compared. Every link is verified on the shingles (as 64-bit hashes), so
+fingerprints and bands decide only what is compared.
+
+First the method of ``simhash``: each set has a 64-bit SimHash of its shingles, and the anchor-point covering finds the
+fingerprints within three bits. Sets of one fingerprint are compared with the smallest of them, and the smallest sets of
+fingerprints with those of the spanning forests that the anchors send on.
+
+At a similarity of 0.8 two fingerprints differ in about 9.7 of 64 bits, so three bits find close copies only. What the
+anchors left apart is found by 24 bands of 5 MinHash values: two sets are compared if they agree in a band, and at a similarity of 0.8 a pair is missed with probability
+(1 - 0.8**5)**24, which is 0.00007. Each set of a band value that still holds several components is compared with the
+value's smallest set, then with the one that has the most links so far, which joins a group around one text by as many
+rows as it has sets. Sets that share a band value and still lie apart meet in
 tasks: a task holds the shingles of a band value's sets (a crowded value is dealt out as pairs of blocks), compares all of
 them and sends on a spanning forest of the links that join components. So rows are linear in a group's size; the comparisons
-of a group that stays apart are not, since each of them has to be made. Of the texts only the ones that share a
-band value are read again, once, for their shingles.
+of a group that stays apart are not, since each of them has to be made. Of the texts only the ones that share an anchor
+or a band value are read again, once, for their shingles.
 
 Edge cases: a null text is an empty one; texts without words are copies of each other; rows with a null id are compared
 like others, and come last. An empty table gives an empty result.
@@ -22,12 +28,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import Staging
 from .common import KEY, free_name, keyed, slices
 from .components import connected_components
-from .simhash import shingle_hashes
+from .simhash import fingerprint_links, fingerprint_of, shingle_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
@@ -57,18 +63,19 @@ def _identity(hashes: np.ndarray) -> int:
 
 
 def _mark(batches):
-    """(doc_id, key, set, n, bands) of each text."""
-    names = ["doc_id", *KEY, "set", "n", "bands"]
+    """(doc_id, key, set, n, fp, bands) of each text."""
+    names = ["doc_id", *KEY, "set", "n", "fp", "bands"]
     for batch in slices(batches):
-        sets, sizes, values = [], [], []
+        sets, sizes, prints, values = [], [], [], []
         for text in batch.column("text").to_pylist():
             hashes = shingles(text)
             sets.append(_identity(hashes))
             sizes.append(len(hashes))
+            prints.append(fingerprint_of(hashes[at:at + _AT_ONCE] for at in range(0, len(hashes), _AT_ONCE)))
             values.append(bands(hashes))
         yield pa.RecordBatch.from_arrays([
             *(batch.column(name) for name in names[:3]), pa.array(sets, pa.int64()), pa.array(sizes, pa.int64()),
-            pa.array(values, pa.list_(pa.int64()))], names=names)
+            pa.array(prints, pa.int64()), pa.array(values, pa.list_(pa.int64()))], names=names)
 
 
 def _shingle_rows(batches):
@@ -159,34 +166,60 @@ def _meeting(apart: DataFrame, read: DataFrame, staging: Staging) -> DataFrame:
     return staging.write(rows.groupBy("band", "unit").applyInArrow(_forests, "a long, b long").distinct(), "links")
 
 
+def _pair(other: str) -> list[Column]:
+    """The set of a row and another one as a pair (a, b, n_a, n_b), the smaller first."""
+    sides = F.array_sort(F.array(F.struct("set", "n"), F.struct(F.col(f"{other}.set"), F.col(f"{other}.n"))))
+    return [sides[at][name].alias(to) for at, name, to in ((0, "set", "a"), (1, "set", "b"), (0, "n", "n_a"), (1, "n", "n_b"))]
+
+
+def _anchored(distinct: DataFrame, staging: Staging) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of sets whose fingerprints are equal or linked by the anchors; ``distinct`` is (set, n, fp)."""
+    least = staging.write(distinct.groupBy("fp").agg(F.min(F.struct("set", "n")).alias("least")), "fingerprints")
+    same = distinct.join(least.hint("merge"), "fp").where("set <> least.set").select(*_pair("least"))
+    linked = staging.write(fingerprint_links(least.select("fp"), staging).distinct(), "anchor-links")
+    ends = linked.join(least.select(F.col("fp").alias("a"), F.col("least.set").alias("set"), F.col("least.n").alias("n")).hint("merge"), "a")
+    near = ends.join(least.select(F.col("fp").alias("b"), "least").hint("merge"), "b").select(*_pair("least"))
+    return same.unionByName(near)
+
+
+def _against(apart: DataFrame, chosen: DataFrame, staging: Staging) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of the chosen set of each band value with the sets of other components."""
+    chosen = staging.write(chosen, "chosen")
+    return apart.join(chosen.hint("merge"), "band").where("part <> chosen.part").select(*_pair("chosen"))
+
+
 def near_copy_sets(docs: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key, set) of every row, and (set, component)."""
     rows = keyed(docs.select("doc_id", "text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     marked = staging.write(rows.mapInArrow(
-        _mark, f"doc_id {id_type}, {KEY[0]} long, {KEY[1]} long, set long, n long, bands array<long>"), "shingle-sets")
+        _mark, f"doc_id {id_type}, {KEY[0]} long, {KEY[1]} long, set long, n long, fp long, bands array<long>"), "shingle-sets")
     owner = F.min(F.struct(*KEY)).alias("owner")
-    distinct = staging.write(marked.groupBy("set").agg(owner, F.first("n").alias("n"), F.first("bands").alias("bands")).select(
-        "set", "n", "owner.*", "bands"), "sets")
+    distinct = staging.write(marked.groupBy("set").agg(owner, *(F.first(name).alias(name) for name in ("n", "fp", "bands"))).select(
+        "set", "n", "owner.*", "fp", "bands"), "sets")
+    anchored = staging.write(_anchored(distinct.select("set", "n", "fp"), staging), "anchored")
     placed = distinct.select("set", "n", F.explode("bands").alias("band"))
-    shared = placed.groupBy("band").agg(F.min(F.struct("set", "n")).alias("least"), F.count("*").alias("sharers")).where("sharers > 1")
-    shared = staging.write(shared.select("band", F.col("least.set").alias("a"), F.col("least.n").alias("n_a")), "bands")
+    shared = placed.groupBy("band").agg(F.count("*").alias("sharers")).where("sharers > 1")
+    shared = staging.write(shared.select("band"), "bands")
     members = staging.write(placed.join(shared.hint("merge"), "band"), "members")
     # The texts are read once for all comparisons.
-    read = _stored_shingles(members.select("set").distinct(), docs, distinct, staging)
-    links = _verified(members.where("set <> a").select("a", F.col("set").alias("b"), "n_a", F.col("n").alias("n_b")), read, staging)
+    wanted = members.select("set").unionByName(anchored.select(F.explode(F.array("a", "b")).alias("set"))).distinct()
+    read = _stored_shingles(wanted, docs, distinct, staging)
+    links = _verified(anchored, read, staging)
+    parts = connected_components(links, staging)
+
+    # The smallest set of each band value that the anchors left apart, against the sets of other components.
+    apart = _parted(members, parts, staging)
+    chosen = apart.groupBy("band").agg(F.min(F.struct("set", "n", "part")).alias("chosen"))
+    links = links.unionByName(_verified(_against(apart, chosen, staging), read, staging))
     parts = connected_components(links, staging)
 
-    # The set with the most links of each band value, against the sets of other components.
+    # The same for the set with the most links.
     apart = _parted(members, parts, staging)
     degrees = links.select(F.explode(F.array("a", "b")).alias("set")).groupBy("set").agg(F.count("*").alias("links"))
     ranked = apart.join(degrees, "set", "left").withColumn("links", F.coalesce("links", F.lit(0)))
-    chosen = staging.write(ranked.groupBy("band").agg(F.max_by(F.struct("set", "n", "part"), F.struct("links", "set")).alias("chosen")), "chosen")
-    second = apart.join(chosen.hint("merge"), "band").where("part <> chosen.part").select(
-        F.least("set", "chosen.set").alias("a"), F.greatest("set", "chosen.set").alias("b"),
-        F.when(F.col("set") < F.col("chosen.set"), F.col("n")).otherwise(F.col("chosen.n")).alias("n_a"),
-        F.when(F.col("set") < F.col("chosen.set"), F.col("chosen.n")).otherwise(F.col("n")).alias("n_b"))
-    links = links.unionByName(_verified(second, read, staging))
+    chosen = ranked.groupBy("band").agg(F.max_by(F.struct("set", "n", "part"), F.struct("links", "set")).alias("chosen"))
+    links = links.unionByName(_verified(_against(apart, chosen, staging), read, staging))
     parts = connected_components(links, staging)
 
     more = _meeting(_parted(members, parts, staging), read, staging)

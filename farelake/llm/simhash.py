@@ -17,7 +17,7 @@ an empty result. Repeated rows give repeated results.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +52,13 @@ def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
     """SimHash of the word shingles, as a signed 64-bit number."""
+    return fingerprint_of(shingle_hashes(text, shingle))
+
+
+def fingerprint_of(parts: Iterable[np.ndarray]) -> int:
+    """SimHash of hashes that come some at a time, as a signed 64-bit number."""
     count, ones = 0, np.zeros(64, dtype=np.int64)
-    for hashes in shingle_hashes(text, shingle):
+    for hashes in parts:
         count += len(hashes)
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     bits = np.packbits(2 * ones > count, bitorder="little")

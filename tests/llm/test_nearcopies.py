@@ -3,6 +3,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from tables import SCHEMA, documents, none
 
@@ -116,3 +117,26 @@ def test_awkward_rows(spark):
     ids = sorted((row["doc_id"] for row in out.collect()), key=str)
     assert 3 in ids and 20 not in ids and 21 not in ids and 40 in ids and 41 not in ids and ids.count(None) == 1
     assert nearcopies.keep_first(none(spark), Staging(spark)).count() == 0
+
+
+def test_anchors_join_close_copies_without_bands(spark, monkeypatch):
+    """Copies within three bits are found by the SimHash anchors alone, and verified; the others then stay apart."""
+    mark = nearcopies._mark
+
+    def without_bands(batches):
+        for batch in mark(batches):
+            at = batch.schema.get_field_index("bands")
+            yield batch.set_column(at, "bands", pa.array([[]] * batch.num_rows, pa.list_(pa.int64())))
+
+    monkeypatch.setattr(nearcopies, "_mark", without_bands)
+    pick = random.Random(3)
+    words = {group: [f"g{group}w{pick.randrange(10 ** 6)}" for _ in range(1500)] for group in range(4)}
+    texts = {10 * group + n: " ".join(own[:1500 - n]) for group, own in words.items() for n in range(3)}
+    # Half of the words go: far more than three bits, and no near copy.
+    texts |= {50 + group: " ".join(own[:750]) for group, own in words.items()}
+    prints = {i: nearcopies.fingerprint_of([nearcopies.shingles(text)]) for i, text in texts.items()}
+    apart = {i: ((prints[i] ^ prints[i // 10 * 10]) % 2 ** 64).bit_count() for i in texts if i < 40}
+    assert max(apart.values()) <= 3
+    table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts.items()], SCHEMA).repartition(3)
+    out = nearcopies.keep_first(table, Staging(spark))
+    assert {row["doc_id"] for row in out.collect()} == kept(texts) == {0, 10, 20, 30, 50, 51, 52, 53}
