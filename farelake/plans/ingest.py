@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from ..operators.normalize import FILE_PATTERN
 from ..operators.ranking import ascending
 from ..schemas import COVERAGE_COLUMNS, SERVICES
 from ..sinks.tables import ensure_layer, replace_partitions, replace_table
@@ -72,14 +72,13 @@ def update_coverage(spark: SparkSession, root: str, years: Sequence[int] = YEARS
 
 
 def _rows_per_file(spark: SparkSession, families: Sequence[Sequence[str]]) -> dict[str, int]:
-    """Row counts per file, or folder of part files; no column is read."""
-    counts: dict[str, int] = {}
+    """Row counts per file, or folder of part files; no column is read, and no row is grouped by its path."""
+    counted = []
     for paths in families:
-        path = F.regexp_extract(F.col("_metadata.file_path"), rf"({FILE_PATTERN})", 1)
-        parent = F.regexp_extract(F.col("_metadata.file_path"), rf"^(.*/{FILE_PATTERN})", 1)
-        per_file = spark.read.parquet(*paths).where(path != "").groupBy(parent.alias("path")).count()
-        counts |= {_plain(row["path"]): row["count"] for row in per_file.collect()}  # one row per file of the calendar
-    return counts
+        schema = spark.read.parquet(paths[0]).schema  # files of a family have one schema
+        counted += [spark.read.schema(schema).parquet(path).agg(F.lit(path).alias("path"), F.count("*").alias("count")) for path in paths]
+    # One row per file of the calendar.
+    return {_plain(row["path"]): row["count"] for row in reduce(DataFrame.unionAll, counted).collect()} if counted else {}
 
 
 def _plain(path: str) -> str:

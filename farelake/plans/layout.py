@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import year_month
 from ..operators.quality import QualityError
 from ..operators.rules import GOLD_RULES, enforced
-from ..sinks.tables import replace_table
+from ..session import session_conf
+from ..sinks.tables import OPEN_PARTITIONS, replace_table
 from .dims import DATE_END, DATE_START
 
 FACT_PARTITION = "year_month"
@@ -37,7 +38,8 @@ def write_fact(fact: DataFrame, table: str = "gold.fct_trips", start: str = DATE
     # A date that is NULL has no partition: that test rejects it already.
     rules = {name: rule for name, rule in GOLD_RULES["fct_trips"].items() if name != "pickup_date_key"}
     rows = with_fact_partition(enforced(fact, rules), start, end)
-    return replace_table(rows, table, partition_by=[FACT_PARTITION])
+    with session_conf(fact.sparkSession, spark__sql__maxConcurrentOutputFileWriters=OPEN_PARTITIONS):
+        return replace_table(rows, table, partition_by=[FACT_PARTITION])
 
 
 def write_zone(dim: DataFrame, table: str = "gold.dim_zone") -> DataFrame:

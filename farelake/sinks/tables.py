@@ -15,6 +15,8 @@ from ..session import Staging, delete_path, session_conf
 
 # Keeps files near the size of a parquet row group or two; small enough to read in parallel, few enough to list.
 ROWS_PER_FILE = 4_000_000
+# Partitions that a task may write side by side; beyond them it sorts the rest of its rows by partition.
+OPEN_PARTITIONS = "32"
 
 
 def ensure_layer(spark: SparkSession, name: str) -> None:
@@ -145,6 +147,7 @@ def replace_partitions(df: DataFrame, table: str, partition_by: Sequence[str]) -
     spark = df.sparkSession
     create_table(spark, table, df.schema, partition_by)
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic",
+                      spark__sql__maxConcurrentOutputFileWriters=OPEN_PARTITIONS,
                       spark__sql__files__maxRecordsPerFile=str(ROWS_PER_FILE)):
         df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
 
