@@ -7,14 +7,16 @@ CSV, and into tables of a layer of their own; everything lies in the staging fol
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from farelake.operators import clean, quality
 from farelake.operators.rules import GOLD_RULES, Rule, violations
 from farelake.plans import build, dims, fact, ingest, layout, passengers, silver, suite
-from farelake.session import Staging
+from farelake.session import Staging, session_conf
 from farelake.sinks import files, tables
 from farelake.sinks.releases import published
 from farelake.sources import rejects, star, trips as trip_files, zones as zone_files
@@ -52,17 +54,31 @@ class Store:
     def months(self) -> str:
         """Raw files of all trips: the published column names differ by service."""
         def write(root: str) -> None:
-            raw = self.staging.write(star.raw_trips(self.spark, self.folder), "raw")
-            for service in SERVICES:
-                own = raw.where(F.col("service_type") == service)
+            raw = star.raw_trips(self.spark, self.folder).withColumn("file_year", F.left("source_month", F.lit(4)))
+            with session_conf(self.spark, spark__sql__maxConcurrentOutputFileWriters=tables.OPEN_PARTITIONS):
+                raw = self.staging.write(raw, "raw", ["service_type", "file_year"])  # a file is written from its own rows only
+
+            def publish(service: str, year: int) -> None:
+                own = raw.where((F.col("service_type") == service) & (F.col("file_year") == str(year)))
                 if service == "green":
                     own = own.withColumnsRenamed({f"tpep_{end}_datetime": f"lpep_{end}_datetime" for end in ("pickup", "dropoff")})
                     own = own.drop("Airport_fee")
-                for year in YEARS:
-                    own.where(F.col("source_month").startswith(f"{year}-")).drop("service_type", "source_month").write.parquet(
-                        f"{root}/{service}_tripdata_{year}-01.parquet")
+                own.drop("service_type", "source_month", "file_year").write.parquet(f"{root}/{service}_tripdata_{year}-01.parquet")
+            self.together(publish)
         return self.path("months", write)
 
+    def together(self, publish) -> None:
+        """Call publish(service, year) for every file, some side by side."""
+        run = inheritable_thread_target(self.spark)
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            for job in [pool.submit(run(publish), service, year) for service in SERVICES for year in YEARS]:
+                job.result()
+
+    def bronze(self) -> DataFrame:
+        """The bronze rows, written for one query; a file holds all rows of few months, or a part of one month."""
+        rows = star.bronze_trips(self.spark, self.folder).hint("rebalance", "service_type", "source_month")
+        return self.staging.write(rows, "bronze")
+
     def zones(self) -> str:
         return self.path("zones", lambda path: tables.write_csv(star.zone_lookup(self.spark, self.folder).na.fill("N/A"), path))
 
@@ -160,9 +176,9 @@ def s13_replace_month(spark, folder):
     """Every month loaded twice, then those of 1999 once more without their cheap trips."""
     store = Store.of(spark, folder)
     name = store.table(f"replaced_{uuid.uuid4().hex[:8]}")
-    bronze = star.bronze_trips(spark, folder)
+    bronze = store.bronze()
     for part in (bronze, bronze, bronze.where(F.col("source_month").startswith("1999") & (F.col("fare_amount") > 20000))):
-        ingest.replace_month(part.hint("rebalance", "service_type", "source_month"), name)
+        ingest.replace_month(part, name)
     return _totals(spark.table(name), "service_type", "source_month")
 
 
@@ -171,7 +187,7 @@ def d09c_month_profiles(spark, folder):
     """Stored profiles of the service views: all months, then only those of 1999 after they lost their cheap trips."""
     store = Store.of(spark, folder)
     name, profiled = (store.table(f"{kind}_{uuid.uuid4().hex[:8]}") for kind in ("profiled", "profiles"))
-    trips, zones = star.bronze_trips(spark, folder), star.zone_lookup(spark, folder)
+    trips, zones = store.bronze(), star.zone_lookup(spark, folder)
     months = [row["source_month"] for row in trips.select("source_month").distinct().collect()]  # the load calendar
     late = [month for month in months if month.startswith("1999")]
     for rows, changed in ((trips, months), (trips.where(F.col("source_month").startswith("1999") & (F.col("fare_amount") > 20000)), late)):
@@ -268,13 +284,15 @@ def s23b_stream_of_changes(spark, folder):
     def publish(service: str, year: int, some: DataFrame) -> None:
         some.write.mode("overwrite").parquet(f"{root}/{service}_tripdata_{year}-01.parquet")
 
-    for service in SERVICES:
-        for year in YEARS:
-            raw = spark.read.parquet(f"{store.months()}/{service}_tripdata_{year}-01.parquet")
-            if (service, year) == damaged:
-                raw.select(F.lit("no trips")).limit(1).write.text(f"{root}/{service}_tripdata_{year}-01.parquet")
-            else:
-                publish(service, year, raw.where("passenger_count = 1") if (service, year) == changed else raw)
+    def first(service: str, year: int) -> None:
+        raw = spark.read.parquet(f"{months}/{service}_tripdata_{year}-01.parquet")
+        if (service, year) == damaged:
+            raw.select(F.lit("no trips")).limit(1).write.text(f"{root}/{service}_tripdata_{year}-01.parquet")
+        else:
+            publish(service, year, raw.where("passenger_count = 1") if (service, year) == changed else raw)
+
+    months = store.months()
+    store.together(first)
 
     def run() -> None:
         query = ingest_stream(spark, root, f"{root}/_checkpoint", *names, trigger=None, **CALENDAR)
@@ -284,7 +302,7 @@ def s23b_stream_of_changes(spark, folder):
     seen = spark.table(names[2]).select("year_month", "service_type", F.col("status").alias("first_status"), F.col("row_count").alias("first_rows"))
     seen = store.staging.write(seen, "first-coverage")
     for service, year in (changed, damaged):
-        publish(service, year, spark.read.parquet(f"{store.months()}/{service}_tripdata_{year}-01.parquet"))
+        publish(service, year, spark.read.parquet(f"{months}/{service}_tripdata_{year}-01.parquet"))
     run()
     revenue = _totals(spark.table(names[0]), "service_type", "source_month").withColumnRenamed("source_month", "year_month").drop("trips")
     return spark.table(names[2]).join(seen, ["year_month", "service_type"]).join(revenue, ["year_month", "service_type"])
@@ -375,7 +393,10 @@ def l08_build(spark, folder):
     ingest.replace_month(star.bronze_trips(spark, folder).hint("rebalance", "service_type", "source_month"), trips)
     tables.replace_table(star.zone_lookup(spark, folder), zones)
     build.build_all(spark, build.BuildConfig(trips, zones, gold, *DOMAIN))
-    lost = clean.clean_trips(star.bronze_trips(spark, folder, *DOMAIN)).limit(1)
+    first, end = (F.lit(day).cast("timestamp_ntz") for day in DOMAIN)
+    inside = (F.col("pickup_datetime") >= first) & (F.col("pickup_datetime") < end)
+    # From the stored trips, by a scan that ends at the first row; stored, since it goes back into the same table.
+    lost = store.staging.write(clean.clean_trips(spark.table(trips)).where(inside).limit(1), "lost")
     ingest.replace_month(lost.withColumns({"do_location_id": F.lit(-1), "source_month": F.lit("1994-12")}), trips)
     try:
         build.build_all(spark, build.BuildConfig(trips, zones, gold, *DOMAIN))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,9 +69,9 @@ class Staging:
         self.spark = spark
         self.path = f"{root or staging_root(spark)}/farelake-{uuid.uuid4().hex}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         target = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.mode("errorifexists").parquet(target)
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
     def drop(self) -> None:

@@ -31,6 +31,8 @@ def raw_trips(spark: SparkSession, folder: str, start: str | None = None, end: s
         orders = orders.where(F.col("o_orderdate") > (F.lit(start).cast("timestamp_ntz") - F.expr("INTERVAL 1 DAY")))
     if end is not None:
         orders = orders.where(F.col("o_orderdate") < F.lit(end).cast("timestamp_ntz"))
+    # The month is text of the order, so it is made once per order rather than once per lineitem.
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM").alias("source_month"))
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     # Customers are joined to the orders, the smaller side, before the orders meet the lineitems.
@@ -67,7 +69,7 @@ def raw_trips(spark: SparkSession, folder: str, start: str | None = None, end: s
         F.when(open_line, F.lit(1.25)).alias("Airport_fee"),
         F.when(refunded, -price).otherwise(price).alias("total_amount"),
         F.when(open_line, "yellow").otherwise("green").alias("service_type"),
-        F.date_format("o_orderdate", "yyyy-MM").alias("source_month"),
+        "source_month",
     )
 
 
