@@ -21,23 +21,29 @@ equal id and text are one document and keep equal texts; texts of the same id ar
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import Staging
 from .common import KEY, free_name, keyed
 
 MIN_WORDS = 50
-# White space of Unicode as Python's str.split sees it.
-WORD = r"[^\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# White space of Unicode as Python's str.split sees it, without the plain space.
+WHITE = ("\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+         "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
+def word_count(text: Column) -> Column:
+    """The words of a text: cuts at single spaces are several times cheaper than a regular expression of all white space."""
+    parts = F.split(F.translate(text, WHITE, " " * len(WHITE)), " ", -1)
+    return F.size(F.array_remove(parts, ""))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per line: document, number, 128-bit line id, words."""
     lines = keyed(docs).where(F.col("text").isNotNull()).select(
         *KEY, F.posexplode(F.split("text", "\n", -1)).alias("line", "content"))
-    words = F.regexp_count("content", F.lit(WORD))
     return lines.select(*KEY, "line", F.xxhash64("content").alias("id_high"),
-                        F.xxhash64("content", F.lit(1)).alias("id_low"), words.cast("long").alias("words"))
+                        F.xxhash64("content", F.lit(1)).alias("id_low"), word_count(F.col("content")).cast("long").alias("words"))
 
 
 def _ranked(suffixes: DataFrame, keys: list[str], name: str, staging: Staging) -> DataFrame:

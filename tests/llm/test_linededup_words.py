@@ -33,6 +33,16 @@ def test_tabs_padding_and_blank_lines_against_brute_force(spark, least):
     assert {row["doc_id"]: set(row["deleted_lines"]) for row in rows if row["deleted_lines"]} == brute_force(texts, least)
 
 
+def test_words_of_a_line_are_those_of_split_without_a_regular_expression(spark):
+    """Matching a class of all white space took two thirds of the query's CPU."""
+    white = [chr(i) for i in range(0x110000) if chr(i).isspace() and chr(i) != "\n"]
+    lines = ["", " ", "  a", "a  ", "\x00", "é\u200bñ", "😀 😀", *white, *(f"a{c}b" for c in white), *(f"{c}{c}a {c}𝒳{c}" for c in white)]
+    table = spark.createDataFrame([(7, "\n".join(lines))], "doc_id long, text string")
+    found = linededup._lines(table)
+    assert [row["words"] for row in found.orderBy("line").collect()] == [len(line.split()) for line in lines]
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_query_counts_words(spark, tmp_path):
     table = "\n".join("\t".join(f"c{row}x{n}" for n in range(6)) for row in range(10))
     padded = "\n".join(f"left{n}" + " " * 60 + f"right{n}" for n in range(4))
