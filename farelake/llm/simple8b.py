@@ -22,7 +22,6 @@ reads back as no rows; only doc_id and text are read, so other columns can't cla
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -30,6 +29,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -125,6 +125,13 @@ def unpack(payload: bytes, blocks: Iterable[int] | None = None) -> np.ndarray:
     return np.concatenate(parts) if parts else np.array([], dtype=np.uint64)
 
 
+def _taken(table: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The values of some rows of a table, which holds rows of the given sizes one behind another."""
+    first, taken = (np.cumsum(sizes) - sizes)[rows], sizes[rows]
+    ends = np.cumsum(taken)
+    return table[np.repeat(first - ends + taken, taken) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class WordEncoder:
     """The tokenizers library's ids of whole texts, with the ids of words kept.
 
@@ -137,8 +144,8 @@ class WordEncoder:
     MARKS = ",.;:!?%&$#*"
     KEPT = 600_000
     # Python takes these for white space, the tokenizer does not.
-    SEPARATORS = re.compile("[\x1c-\x1f]")
-    LATIN = re.compile("[a-zA-Z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+    SEPARATORS = "[\x1c-\x1f]"
+    LATIN = "[a-zA-Z\xc0-\xd6\xd8-\xf6\xf8-\xff]"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -153,8 +160,9 @@ class WordEncoder:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
-        latin = [word for word in words if self.LATIN.fullmatch(word)]
-        other = [word for word in words if not self.LATIN.fullmatch(word)]
+        is_latin = pc.match_substring_regex(pa.array(words, type=pa.string()), f"^{self.LATIN}+$").to_pylist()
+        latin = [word for word, yes in zip(words, is_latin) if yes]
+        other = [word for word, yes in zip(words, is_latin) if not yes]
         found = dict(zip(other, self._encode(other)))
         for at in range(0, len(latin), 1000):
             some = latin[at:at + 1000]
@@ -165,38 +173,47 @@ class WordEncoder:
             found.update(zip(some, (raw[a:b] for a, b in zip([0, *last[:-1].tolist()], last.tolist()))))
         return found
 
-    def _parted(self, word: str) -> tuple[str, str]:
-        body = word.rstrip(self.MARKS)
+    def _parted(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """The words without the marks behind their last letter, and these marks."""
+        trimmed = pc.utf8_rtrim(words, characters=self.MARKS)
         # Other letters may become several characters in lower case, of which the last one joins the mark.
-        if not body or not self.LATIN.fullmatch(body[-1]):
-            body = word
-        return (body.lower() if body.isascii() and "<" not in body else body), word[len(body):]
-
-    def _learn(self, unseen: set[str]) -> dict[str, bytes]:
-        kept = self.kept
-        parted = {word: self._parted(word) for word in unseen}
-        parts = {part for pair in parted.values() for part in pair if part and part not in kept}
-        fresh = self._encode_words(list(parts))
-        fresh[""] = b""
-        look = lambda part: fresh[part] if part in fresh else kept[part]
-        whole = {word: look(body) + look(tail) for word, (body, tail) in parted.items()}
-        if len(kept) < self.KEPT:
-            kept.update(fresh)
-            kept.update(whole)
-        return whole
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
-        look = self.kept.get
-        words = [None if self.SEPARATORS.search(text) else text.split() for text in texts]
-        found = [None if some is None else list(map(look, some)) for some in words]
-        missing = [[] if some is None else [at for at, ids in enumerate(some) if ids is None] for some in found]
-        unseen = {words[row][at] for row, places in enumerate(missing) for at in places}
-        fresh = self._learn(unseen) if unseen else {}
-        for row, places in enumerate(missing):
-            for at in places:
-                found[row][at] = fresh[words[row][at]]
-        return [self._encode([text])[0] if some is None else b"".join(some) for text, some in zip(texts, found)]
+        cut = pc.match_substring_regex(trimmed, f"{self.LATIN}$")
+        body = pc.if_else(cut, trimmed, words)
+        tail = pc.if_else(cut, pc.replace_substring_regex(words, f"(?s)^.*[^{self.MARKS}]", ""), "")
+        lowered = pc.and_not(pc.string_is_ascii(body), pc.match_substring(body, "<"))
+        return pc.if_else(lowered, pc.ascii_lower(body), body), tail
+
+    def _look_up(self, parts: pa.Array) -> list[bytes]:
+        """The ids of distinct parts of words."""
+        parts = parts.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.kept.get, parts))
+        missing = [at for at, ids in enumerate(found) if ids is None]
+        fresh = self._encode_words([parts[at] for at in missing])
+        for at in missing:
+            found[at] = fresh[parts[at]]
+        if len(self.kept) < self.KEPT:
+            self.kept.update(fresh)
+        return found
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers. Every part of their distinct words is looked up once."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, type=pa.string())
+        whole = pc.match_substring_regex(texts, self.SEPARATORS)
+        words = pc.utf8_split_whitespace(pc.if_else(whole, "", texts))  # white space of Unicode, as in str.split
+        coded = words.flatten().dictionary_encode()
+        parts = pa.concat_arrays(self._parted(coded.dictionary)).dictionary_encode()
+        found = self._look_up(parts.dictionary)
+        table, sizes = np.frombuffer(b"".join(found), dtype="<u4"), np.array(list(map(len, found)), dtype=np.int64) // 4
+        # From the ids of the parts to those of the distinct words, body and tail, and on to those of all words.
+        pairs = parts.indices.to_numpy().reshape(2, -1).T.ravel()
+        table, sizes = _taken(table, sizes, pairs), sizes[pairs].reshape(-1, 2).sum(axis=1)
+        row = coded.indices.to_numpy()
+        ids = _taken(table, sizes, row)
+        bounds = np.concatenate(([0], np.cumsum(sizes[row])))[words.offsets.to_numpy()].tolist()
+        out = [ids[start:end].tobytes() for start, end in zip(bounds, bounds[1:])]
+        for at in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            out[at] = self._encode([texts[at].as_py()])[0]
+        return out
 
 
 def write_corpus(docs: DataFrame, path: str, encoder: Callable[[], WordEncoder], end_id: int = 1) -> None:
@@ -226,7 +243,7 @@ def write_corpus(docs: DataFrame, path: str, encoder: Callable[[], WordEncoder],
         owner_type = pa.int64()
         for batch in slices(batches, 1024):
             owner_type = batch.column(0).type
-            for owner, raw in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist())):
+            for owner, raw in zip(batch.column(0).to_pylist(), words.encode(batch.column(1))):
                 ids.append(raw + end)
                 owners.append(owner)
                 held += len(raw) // 4 + 1

@@ -57,6 +57,21 @@ def test_encoder_equals_the_library(monkeypatch, kept):
             assert np.frombuffer(raw, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text[:40]
 
 
+def test_a_word_is_looked_up_once_for_many_texts():
+    class Kept(dict):
+        asked = 0
+
+        def get(self, *args):
+            self.asked += 1
+            return super().get(*args)
+
+    encoder = simple8b.WordEncoder(PATH)
+    encoder.kept = Kept()
+    texts = ["the same, the\x85same ", "", " the\u3000\u2003same", "the\x1csame", "\tsame\n"] * 200
+    assert encoder.encode(texts) == encoder._encode(texts)
+    assert encoder.kept.asked <= 5
+
+
 def expected(rows):
     tokenizer, start = Tokenizer.from_file(PATH), 0
     for doc_id, text in rows:
