@@ -20,6 +20,7 @@ def once_per_worker(slot: str, key: Hashable, make: Callable):
     """
     held = sys.modules.setdefault("_llm_worker", types.ModuleType("_llm_worker")).__dict__.setdefault("held", {})
     if slot not in held or held[slot][0] != key:
+        held.pop(slot, None)  # let go first, or the worker holds two of them while the next one is made
         held[slot] = key, make()
     return held[slot][1]
 
@@ -39,14 +40,18 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
 
 
 def append_columns(df: DataFrame, source: str, fields: Sequence[T.StructField],
-                   function: Callable[[list], Sequence[pa.Array]]) -> DataFrame:
-    """Append ``fields``, computed by ``function`` from the values of one column, batch by batch."""
+                   function: Callable[[list], Sequence[pa.Array]], arrow: bool = False) -> DataFrame:
+    """Append ``fields``, computed by ``function`` from the values of one column, batch by batch.
+
+    With ``arrow`` the function is given the Arrow array instead of a list.
+    """
     schema = T.StructType([*df.schema.fields, *fields])
     place, names = df.columns.index(source), [*df.columns, *(field.name for field in fields)]
 
     def run(batches):
         for batch in slices(batches):
-            added = function(batch.column(place).to_pylist())
+            values = batch.column(place)
+            added = function(values if arrow else values.to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
 
     return df.mapInArrow(run, schema)

@@ -37,6 +37,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -386,20 +387,36 @@ class Surface:
     """Text of ids: pieces in order, byte pieces as UTF-8, the mark as a space, without the first one."""
 
     def __init__(self, model: PieceModel):
-        self.surface = [piece.replace(SPACE, " ").encode() if ok else b"" for piece, ok in zip(model.pieces, model.usable)]
+        surface = [piece.replace(SPACE, " ").encode() if ok else b"" for piece, ok in zip(model.pieces, model.usable)]
         for byte, piece in enumerate(model.byte_ids):
-            self.surface[piece] = bytes([byte])
+            surface[piece] = bytes([byte])
+        self.bytes = np.frombuffer(b"".join(surface), dtype=np.uint8)
+        self.sizes = np.array(list(map(len, surface)), dtype=np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
 
-    def text(self, ids: list[int]) -> bytes:
-        raw = b"".join([self.surface[i] for i in ids])
-        return raw[1:] if raw[:1] == b" " else raw
+    def texts(self, rows: pa.ListArray) -> list[bytes | None]:
+        """The text of each row of ids; the rows of a batch are looked up together."""
+        ids, ends = _flat(rows)
+        taken = self.sizes[ids]
+        upto = np.cumsum(taken)
+        total = int(upto[-1]) if len(upto) else 0
+        text = self.bytes[np.repeat(self.first[ids] - upto + taken, taken) + np.arange(total)].tobytes()
+        bounds = np.concatenate(([0], upto))[ends].tolist()
+        raw = [text[start:end] for start, end in zip([0, *bounds], bounds)]
+        return [None if null else one[1:] if one[:1] == b" " else one for one, null in zip(raw, rows.is_null().to_pylist())]
+
+
+def _flat(rows: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the rows, and where each row ends."""
+    sizes = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+    return rows.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes, dtype=np.int64)
 
 
 def decode(encoded: DataFrame, path: str, column: str = "decoded", ids: str = "ids") -> DataFrame:
     """Append the text of ``ids``."""
     surface = Surface(load_model(path))
     return append_columns(encoded, ids, [T.StructField(column, T.StringType())], lambda rows: [
-        pa.array([None if row is None else surface.text(row).decode("utf-8", "replace") for row in rows], type=pa.string())])
+        pa.array([None if text is None else text.decode("utf-8", "replace") for text in surface.texts(rows)], type=pa.string())], arrow=True)
 
 
 def digests(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -407,8 +424,11 @@ def digests(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     surface = Surface(load_model(path))
 
     def run(rows):
-        codes = [None if row is None else zlib.crc32(np.asarray(row, dtype="<u4").tobytes()) for row in rows]
-        texts = [None if row is None else zlib.crc32(surface.text(row)) for row in rows]
+        flat, ends = _flat(rows)
+        raw, stops = flat.astype("<u4").tobytes(), (4 * ends).tolist()
+        texts = surface.texts(rows)
+        codes = [None if text is None else zlib.crc32(raw[start:stop]) for start, stop, text in zip([0, *stops], stops, texts)]
+        texts = [None if text is None else zlib.crc32(text) for text in texts]
         return [pa.array(codes, type=pa.int64()), pa.array(texts, type=pa.int64())]
 
-    return append_columns(encoded, ids, [T.StructField("ids_crc32", T.LongType()), T.StructField("decoded_crc32", T.LongType())], run)
+    return append_columns(encoded, ids, [T.StructField("ids_crc32", T.LongType()), T.StructField("decoded_crc32", T.LongType())], run, arrow=True)

@@ -1,13 +1,16 @@
+import weakref
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tables import documents, none, prose
 
 from farelake.llm import lattice
+from farelake.llm.common import once_per_worker
 from farelake.llm.registry import op10_sentencepiece
 from farelake.session import Staging
 
@@ -84,3 +87,24 @@ def test_whole_table(spark, library):
         ids = library.encode(texts[row["doc_id"]])
         code = zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
         assert (row["n_tokens"], row["ids_crc32"], row["round_trip"]) == (len(ids), code, True)
+
+
+def test_rows_of_ids_are_decoded_together(library):
+    """One list of ids per row took a third of the query's CPU."""
+    surface, texts = lattice.Surface(lattice.load_model(PATH)), ["", "plain words", "  two  spaces ", "😀é́\n", "last"]
+    rows = pa.array([[1, 2], None, *map(library.encode, texts), None, []], type=pa.list_(pa.int32())).slice(1)
+    assert surface.texts(rows) == [None, *(text.encode() for text in texts), None, b""]
+    assert surface.texts(rows.slice(0, 1)) == [None]
+
+
+def test_a_worker_lets_go_of_what_it_kept_before_it_makes_the_next():
+    """Two encoders in one worker went beyond the memory of an executor."""
+    class Kept:
+        pass
+
+    def next_one():
+        return "gone" if first() is None else "still held"
+
+    first = weakref.ref(once_per_worker("test-slot", 1, Kept))
+    assert first() is not None
+    assert once_per_worker("test-slot", 2, next_one) == "gone"
