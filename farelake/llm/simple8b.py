@@ -44,85 +44,97 @@ SELECTORS = ((240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (1
 ESCAPE = 15
 
 
+def _window_maxima(values: np.ndarray, sizes: Iterable[int]) -> Iterator[np.ndarray]:
+    """For each size, ascending, the largest of the next so many values of each row; the rows end in zeros."""
+    power, reach = values, 1
+    for size in sizes:
+        while 2 * reach <= size:
+            power, reach = np.maximum(power[:, :-reach], power[:, reach:]), 2 * reach
+        yield np.maximum(power[:, :BLOCK_IDS], power[:, size - reach:size - reach + BLOCK_IDS])
+
+
 def pack(ids: np.ndarray) -> bytes:
     """Payload of the ids (unsigned, up to 64 bits)."""
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
-    total = len(ids)
-    starts = np.arange(0, total, BLOCK_IDS)
-    place = np.arange(total, dtype=np.int32)
-    left = np.minimum((place // BLOCK_IDS + 1) * BLOCK_IDS, total).astype(np.int32) - place
-    # The first selector, that is the one with most ids, whose width holds all of the next ids of the block.
-    selector = np.full(total, ESCAPE, dtype=np.int8)
-    step = np.ones(total, dtype=np.int32)
+    total, most = len(ids), SELECTORS[0][0]
+    n_blocks = -(-total // BLOCK_IDS)
+    # One row per block. The zeros behind its ids fit any selector, so that its last word may have room left.
+    rows = np.zeros((n_blocks, BLOCK_IDS + most), dtype=np.uint64)
+    for number in range(n_blocks):
+        own = ids[number * BLOCK_IDS:(number + 1) * BLOCK_IDS]
+        rows[number, :len(own)] = own
     widths = sorted({bits for _, bits in SELECTORS})
-    width = np.searchsorted(np.array([1 << bits for bits in widths], dtype=np.uint64), ids, side="right").astype(np.int8)
-    free, runs = np.ones(total, dtype=bool), {}
-    for number, (count, bits) in enumerate(SELECTORS):
-        if bits not in runs:
-            fits = np.flatnonzero(width <= widths.index(bits)).astype(np.int32)
-            breaks = np.append(np.flatnonzero(np.diff(fits) != 1), len(fits) - 1) if len(fits) else np.array([], dtype=np.int64)
-            end = np.repeat(fits[breaks] + 1, np.diff(np.concatenate(([-1], breaks))))
-            runs[bits] = fits, np.minimum(end - fits, left[fits])
-        fits, run = runs[bits]
-        wanted = np.minimum(count, left[fits])
-        good = (run >= wanted) & free[fits]
-        chosen = fits[good]
-        selector[chosen], step[chosen], free[chosen] = number, wanted[good], False
-    jumps, at, chain = step.tolist(), 0, []
-    while at < total:
-        chain.append(at)
-        at += jumps[at]
-    place = np.array(chain, dtype=np.int64)
-    chosen, taken = selector[place].astype(np.int64), step[place]
+    width = np.searchsorted(np.array([1 << bits for bits in widths], dtype=np.uint64), rows.ravel(), side="right")
+    width = width.astype(np.int8).reshape(rows.shape)
+    # The first selector, that is the one with most ids, whose width holds all of the next ids of the block.
+    selector = np.full((n_blocks, BLOCK_IDS), ESCAPE, dtype=np.int8)
+    for number, largest in zip(range(ESCAPE - 1, -1, -1), _window_maxima(width, [count for count, _ in reversed(SELECTORS)])):
+        selector[largest <= widths.index(SELECTORS[number][1])] = number
+    step = np.array([count for count, _ in SELECTORS] + [1], dtype=np.uint8)[selector]
+    chain, bounds = [], [0]
+    for number in range(n_blocks):
+        jumps, at, end = step[number].tobytes(), 0, min(BLOCK_IDS, total - number * BLOCK_IDS)
+        while at < end:
+            chain.append(at)
+            at += jumps[at]
+        bounds.append(len(chain))
+    block, place = np.repeat(np.arange(n_blocks), np.diff(bounds)), np.array(chain, dtype=np.int64)
+    chosen = selector.ravel()[block * BLOCK_IDS + place]
+    place += block * rows.shape[1]
     words = chosen.astype(np.uint64) << np.uint64(60)
-    padded = np.concatenate((ids, np.zeros(SELECTORS[0][0], dtype=np.uint64)))
+    flat = rows.ravel()
     for number, (count, bits) in enumerate(SELECTORS):
-        rows = np.flatnonzero(chosen == number)
-        if bits and len(rows):
-            lanes = np.arange(count)
-            values = np.where(lanes < taken[rows, None], padded[place[rows, None] + lanes], np.uint64(0))
-            words[rows] |= np.bitwise_or.reduce(values << (lanes * bits).astype(np.uint64), axis=1)
-    bounds = np.searchsorted(place, np.append(starts, total))
-    blocks, offsets, size = [], [], len(MAGIC) + 4 + 8 * len(starts)
-    for number, start in enumerate(starts):
-        low, high = bounds[number], bounds[number + 1]
-        escaped = ids[place[low:high][chosen[low:high] == ESCAPE]]
+        at = np.flatnonzero(chosen == number)
+        if bits and len(at):
+            lanes = np.arange(count)[:, None]
+            words[at] |= np.bitwise_or.reduce(flat[place[at] + lanes] << (lanes * bits).astype(np.uint64), axis=0)
+    blocks, offsets, size = [], [], len(MAGIC) + 4 + 8 * n_blocks
+    for number, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        escaped = flat[place[low:high][chosen[low:high] == ESCAPE]]
         body = words[low:high].astype("<u8").tobytes() + escaped.astype("<u8").tobytes()
-        block = struct.pack("<4I", int(min(BLOCK_IDS, total - start)), int(high - low), len(escaped), zlib.crc32(body)) + body
+        held = min(BLOCK_IDS, total - number * BLOCK_IDS)
+        blocks.append(struct.pack("<4I", held, high - low, len(escaped), zlib.crc32(body)) + body)
         offsets.append(size)
-        size += len(block)
-        blocks.append(block)
-    return MAGIC + struct.pack("<I", len(starts)) + np.array(offsets, dtype="<u8").tobytes() + b"".join(blocks)
-
-
-def _unpack_block(payload: bytes, offset: int) -> np.ndarray:
-    count, n_words, n_escaped, check = struct.unpack_from("<4I", payload, offset)
-    body = payload[offset + 16:offset + 16 + 8 * (n_words + n_escaped)]
-    if zlib.crc32(body) != check:
-        raise ValueError("damaged block")
-    values = np.frombuffer(body, dtype="<u8").astype(np.uint64)
-    words, escaped = values[:n_words], values[n_words:]
-    chosen = (words >> np.uint64(60)).astype(np.int64)
+        size += len(blocks[-1])
+    return MAGIC + struct.pack("<I", n_blocks) + np.array(offsets, dtype="<u8").tobytes() + b"".join(blocks)
+
+
+def _decode(words: np.ndarray, escaped: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids that the words have room for, and the place of each word's first one."""
+    chosen = (words >> np.uint64(60)).astype(np.int8)
     counts = np.array([n for n, _ in SELECTORS] + [1])[chosen]
     places = np.cumsum(counts) - counts
     out = np.zeros(int(counts.sum()), dtype=np.uint64)
-    for number, (lanes, bits) in enumerate(SELECTORS):
-        rows = np.flatnonzero(chosen == number)
-        if bits and len(rows):
-            shifts = (np.arange(lanes) * bits).astype(np.uint64)
-            out[places[rows, None] + np.arange(lanes)] = (words[rows, None] >> shifts) & np.uint64((1 << bits) - 1)
+    for number, (count, bits) in enumerate(SELECTORS):
+        at = np.flatnonzero(chosen == number)
+        if bits and len(at):
+            lanes = np.arange(count)[:, None]
+            out[places[at] + lanes] = (words[at] >> (lanes * bits).astype(np.uint64)) & np.uint64((1 << bits) - 1)
     out[places[chosen == ESCAPE]] = escaped
-    return out[:count]
+    return out, places
 
 
 def unpack(payload: bytes, blocks: Iterable[int] | None = None) -> np.ndarray:
-    """The ids of a payload, or of some of its blocks."""
+    """The ids of a payload, or of some of its blocks; the words of all blocks asked for are decoded together."""
     if payload[:4] != MAGIC:
         raise ValueError("not a Simple-8b payload")
     total = struct.unpack_from("<I", payload, 4)[0]
     offsets = np.frombuffer(payload, dtype="<u8", count=total, offset=8)
-    parts = [_unpack_block(payload, int(offsets[b])) for b in (range(total) if blocks is None else blocks)]
-    return np.concatenate(parts) if parts else np.array([], dtype=np.uint64)
+    held, first, words, escaped = [], [0], [], []
+    for offset in offsets.tolist() if blocks is None else [int(offsets[b]) for b in blocks]:
+        count, n_words, n_escaped, check = struct.unpack_from("<4I", payload, offset)
+        body = payload[offset + 16:offset + 16 + 8 * (n_words + n_escaped)]
+        if zlib.crc32(body) != check:
+            raise ValueError("damaged block")
+        values = np.frombuffer(body, dtype="<u8").astype(np.uint64)
+        held.append(count)
+        first.append(first[-1] + n_words)
+        words.append(values[:n_words])
+        escaped.append(values[n_words:])
+    if not held:
+        return np.array([], dtype=np.uint64)
+    out, places = _decode(np.concatenate(words), np.concatenate(escaped))
+    return np.concatenate([out[start:start + count] for start, count in zip(places[first[:-1]].tolist(), held)])
 
 
 def _taken(table: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> np.ndarray:

@@ -1,3 +1,4 @@
+import sys
 import zlib
 
 import numpy as np
@@ -34,6 +35,48 @@ def test_blocks(size, top):
             assert len(payload) < 3 * size
 
 
+def greedy(ids):
+    """(selector, ids) of every word, one after another: the first selector whose ids all fit."""
+    words = []
+    for start in range(0, len(ids), simple8b.BLOCK_IDS):
+        block = ids[start:start + simple8b.BLOCK_IDS]
+        while block:
+            number, count = next(((number, count) for number, (count, bits) in enumerate(simple8b.SELECTORS)
+                                  if max(block[:count]) < 1 << bits), (simple8b.ESCAPE, 1))
+            words.append((number, block[:count]))
+            block = block[count:]
+    return words
+
+
+def test_words_hold_as_many_ids_as_fit():
+    random = np.random.default_rng(5)
+    ids = np.concatenate([np.zeros(4000), random.integers(0, 2, 600), 2.0 ** random.uniform(0, 34, 3000), np.ones(1000)]).astype(np.uint64)
+    payload, words = simple8b.pack(ids), greedy(ids.tolist())
+    escapes = sum(number == simple8b.ESCAPE for number, _ in words)
+    n_blocks = -(-len(ids) // simple8b.BLOCK_IDS)
+    assert len(payload) == 8 + 24 * n_blocks + 8 * (len(words) + escapes)
+    assert (simple8b.unpack(payload) == ids).all()
+
+
+def test_blocks_are_decoded_together():
+    def calls(blocks):
+        payload, made = simple8b.pack(np.resize(ids, blocks * simple8b.BLOCK_IDS)), 0
+
+        def count(frame, event, arg):
+            nonlocal made
+            made += event in ("call", "c_call")
+
+        sys.setprofile(count)
+        try:
+            simple8b.unpack(payload)
+        finally:
+            sys.setprofile(None)
+        return made
+
+    ids = (2 ** np.random.default_rng(3).uniform(0, 15.5, simple8b.BLOCK_IDS)).astype(np.uint64)
+    assert calls(16) - calls(1) < 15 * 20
+
+
 def test_damage_is_found():
     payload = bytearray(simple8b.pack(np.arange(100, dtype=np.uint64)))
     payload[-1] ^= 1
