@@ -434,7 +434,7 @@ def d09_suite(spark, folder):
     bronze, zones = staging.write(_bronze(spark, folder), "bronze"), _zones(spark, folder)
     yellow, green = silver.silver_yellow(bronze, zones), silver.silver_green(bronze, zones)
     base = silver.silver_base(bronze)
-    cube = staging.write(marts.trip_cube(base), "cube")
+    cube = staging.write(marts.trip_cube(silver.silver_base(bronze, fx.money_of_double)), "cube")
     facts = fact.keyed_fact(fact.fct_trips(base, *DOMAIN), staging, replayable=True)
     return suite.suite_results({
         "silver_yellow_trips": yellow, "silver_green_trips": green,

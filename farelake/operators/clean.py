@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import half_even_int, minutes_between, money, pickup_parts
@@ -45,7 +47,7 @@ def apply_defaults(df: DataFrame) -> DataFrame:
     return df.withColumns({name: defaulted(name) for name in DEFAULTS if name in df.columns})
 
 
-def typed(name: str) -> Column:
+def typed(name: str, to_money: Callable[[Column], Column] = money) -> Column:
     """Silver value of a bronze column: default, then integer or money type."""
     value = defaulted(name)
     if name in ROUNDED_COLUMNS:
@@ -53,7 +55,7 @@ def typed(name: str) -> Column:
     elif name in ID_COLUMNS:
         value = value.cast("int")
     elif name in MONEY_COLUMNS:
-        value = money(value)
+        value = to_money(value)
     return value.alias(name)
 
 

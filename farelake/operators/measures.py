@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import ratio
+from ..functions import decimal_of, ratio
 
 # Sums are exact, so that they don't depend on the order of the tasks: money as decimals with room for 10^22 in a group,
 # distances and ratios as wide decimals, durations as whole microseconds.
 MONEY_SUM = "decimal(24,2)"
-DISTANCE, MICROSECONDS, RATIO = "decimal(28,8)", "decimal(18,0)", "decimal(28,14)"
+DISTANCE, MICROSECONDS, RATIO = (28, 8), (18, 0), (28, 14)
 MICROSECONDS_PER_MINUTE = 60_000_000
 MONEY_MEASURES = ("fare_sum", "tip_sum", "toll_sum", "revenue_sum")
 
@@ -25,13 +25,13 @@ def _definitions() -> dict[str, Column]:
     return {
         "trips": F.count("*"),
         "passengers": F.sum("passenger_count"),
-        "distance_sum": F.sum(F.col("trip_distance").cast(DISTANCE)),
-        "duration_micros": F.sum(F.round(F.col("trip_duration_minutes") * MICROSECONDS_PER_MINUTE).cast(MICROSECONDS)),
+        "distance_sum": F.sum(decimal_of(F.col("trip_distance"), *DISTANCE)),
+        "duration_micros": F.sum(decimal_of(F.col("trip_duration_minutes") * MICROSECONDS_PER_MINUTE, *MICROSECONDS)),
         "fare_sum": F.sum("fare_amount"),
         "tip_sum": F.sum("tip_amount"),
         "toll_sum": F.sum("tolls_amount"),
         "revenue_sum": F.sum("total_amount"),
-        "tip_ratio_sum": F.sum(tip_ratio.cast(RATIO)),
+        "tip_ratio_sum": F.sum(decimal_of(tip_ratio, *RATIO)),
         "tip_ratio_count": F.count(tip_ratio),
         "tipped_trips": _count_where(F.col("tip_amount") > 0),
         "card_trips": _count_where(F.col("payment_type") == 1),

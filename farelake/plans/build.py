@@ -13,6 +13,7 @@ from functools import partial
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import money_of_double
 from ..operators.quality import QualityError, require_rows, unique
 from ..schemas import SERVICES
 from ..session import Staging
@@ -84,7 +85,8 @@ def build_marts(spark: SparkSession, config: BuildConfig = BuildConfig()) -> dic
     """All four marts from three reads of bronze: the cube, the zone flows and the medians."""
     base, zones = silver_base(spark.table(config.trips_table)), spark.table(config.zones_table)
     with Staging(spark) as staging:
-        cube = staging.write(marts.trip_cube(base), "cube")
+        summed = silver_base(spark.table(config.trips_table), money_of_double)
+        cube = staging.write(marts.trip_cube(summed), "cube")
         built = {
             "gold_monthly_summary": marts.monthly_from_cube(cube, base),
             "gold_zone_analytics": marts.zone_analytics(base, zones),

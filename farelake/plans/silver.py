@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import money
 from ..operators.clean import calendar_columns, clean_trips, enrich_zones, trip_duration_minutes, typed
 from ..schemas import SERVICES, SILVER_COLUMNS, ZONE_NAME_COLUMNS
 
@@ -21,10 +24,10 @@ def no_airport_fee() -> Column:
     return F.lit(0).cast("decimal(10,2)")
 
 
-def _columns(names) -> list[Column]:
+def _columns(names, to_money: Callable[[Column], Column] = money) -> list[Column]:
     derived = {"trip_duration_minutes": trip_duration_minutes(), **dict(zip(
         ("pickup_date", "pickup_year", "pickup_month", "pickup_day_of_week", "pickup_hour"), calendar_columns()))}
-    return [derived.get(n, F.col(n) if n in _AS_IS else typed(n)) for n in names]
+    return [derived.get(n, F.col(n) if n in _AS_IS else typed(n, to_money)) for n in names]
 
 
 def _service(bronze: DataFrame, zones: DataFrame, service: str, own: str) -> DataFrame:
@@ -51,17 +54,20 @@ def silver_unified(yellow: DataFrame, green: DataFrame) -> DataFrame:
     )
 
 
-def silver_base(bronze: DataFrame) -> DataFrame:
+def silver_base(bronze: DataFrame, to_money: Callable[[Column], Column] = money) -> DataFrame:
     """The unified trips without zone names, from one scan of bronze and no join.
 
     Equal to ``silver_unified`` without its four name columns as long as zone ids are unique. The fact table and the
     marts are built from it, since they look names up by location after aggregating.
+
+    ``money_of_double`` as ``to_money`` suits readers of a few columns, as the cube: for all of them at once its code is
+    more than the JVM compiles as one method.
     """
     green = F.col("service_type") == "green"
     trips = clean_trips(bronze.where(F.col("service_type").isin(*SERVICES)))
     by_service = {
         "trip_type": F.when(green, typed("trip_type")).alias("trip_type"),
-        "airport_fee": F.when(green, no_airport_fee()).otherwise(typed("airport_fee")).alias("airport_fee"),
+        "airport_fee": F.when(green, no_airport_fee()).otherwise(typed("airport_fee", to_money)).alias("airport_fee"),
     }
-    columns = dict(zip(_COMMON, _columns(_COMMON))) | by_service
+    columns = dict(zip(_COMMON, _columns(_COMMON, to_money))) | by_service
     return trips.select([columns[c] for c in SILVER_COLUMNS if c in columns])

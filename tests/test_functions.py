@@ -1,5 +1,7 @@
+import math
 from datetime import date, datetime
 from decimal import Decimal
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,6 +28,27 @@ def test_money_rounds_half_away_and_overflow_fails(spark):
         values(spark, [(123456789.5,)], "x double", fx.money(F.col("x")))
 
 
+@pytest.mark.parametrize("precision, scale, top", [(10, 2, 9e7), (28, 8, 1e12), (28, 14, 1e3), (18, 0, 1e16)])
+def test_doubles_become_the_decimals_of_a_cast(spark, precision, scale, top):
+    """Also at ties, one step of a double beside them, and where scaled numbers have no digits left."""
+    random = Random(7)
+    unit = 10.0 ** -scale
+    rows = [None, 0.0, -0.0, 1.005, 2.675, 0.285, 1e13, 1e14 * unit, 5e-324, unit, unit / 2]
+    rows += [random.uniform(-1, 1) * 10 ** random.uniform(-scale - 2, math.log10(top)) for _ in range(3000)]
+    ties = [(random.randrange(10 ** random.randrange(1, 9)) + 0.5) * unit for _ in range(1000)]
+    cents = [random.randrange(-10 ** 7, 10 ** 7) / 100 for _ in range(1000)]
+    rows += ties + cents + [math.nextafter(x, side) for x in ties for side in (-math.inf, math.inf)]
+    rows = [(x,) for x in rows if x is None or abs(x) <= top] + [(math.inf,), (-math.inf,), (math.nan,)]
+    x = F.col("x")
+    cast = x.cast(f"decimal({precision},{scale})")
+    df = spark.createDataFrame(rows, "x double").select("x", fx.decimal_of(x, precision, scale).alias("fast"), cast.alias("cast"))
+    assert df.schema["fast"].dataType == df.schema["cast"].dataType
+    assert df.where(~F.col("fast").eqNullSafe(F.col("cast"))).collect() == []
+    for beyond in (10.0 ** (precision - scale), 1e30):
+        with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+            values(spark, [(beyond,)], "x double", fx.decimal_of(x, precision, scale))
+
+
 def test_ratio_percent_and_means(spark):
     rows = [(3.0, 0.0), (3.0, 4.0), (None, 2.0)]
     assert values(spark, rows, "a double, b double", fx.ratio(F.col("a"), F.col("b"))) == [(None,), (0.75,), (None,)]
